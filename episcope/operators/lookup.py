@@ -1,0 +1,21 @@
+"""Size-checked broadcast of look-up tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A look-up is broadcast only when it has at most this many rows; beyond that
+# the join stays a shuffle join (and AQE may still broadcast it at run time
+# from measured sizes).
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Hint ``broadcast`` only after proving ``df`` has <= ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
+    early), so it stays cheap even when the table turns out to be large.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
