@@ -307,7 +307,8 @@ def duplicate_episode_ids(spark, sf_dir):
 @query("filter_adult")
 def filter_adult(spark, sf_dir):
     rows = EPI.classified_rows(load_inputs(spark, sf_dir))
-    return rows.select("attendid", "prescriptionid", "tx_age", "age").distinct()
+    return rows.select(EPI.EP, EPI.MAPPED, _day("treatmentstartdate").alias("treatmentstartdate"),
+                       "patientid", "tx_age", "age").distinct()
 
 
 @query("best_address")
@@ -445,8 +446,7 @@ def distinct_core(spark, sf_dir):
 @query("first_known_demographics")
 def first_known_demographics(spark, sf_dir):
     inp = load_inputs(spark, sf_dir)
-    rows = EPI.with_patient(EPI.core_rows(inp), inp.at_patient)
-    s = EPI.episode_summary(rows)
+    s = EPI.episode_summary(EPI.episode_rows(inp))
     return s.select(EPI.EP, EPI.PROV, "chunk_id", F.col("first_ethnicity").alias("ethnicity"),
                     F.col("first_ethnicityname").alias("ethnicityname"), F.col("first_sex").alias("sex"))
 
@@ -454,8 +454,7 @@ def first_known_demographics(spark, sf_dir):
 @query("episode_max_dose")
 def episode_max_dose(spark, sf_dir):
     inp = load_inputs(spark, sf_dir)
-    rows = EPI.with_patient(EPI.core_rows(inp), inp.at_patient)
-    s = EPI.episode_summary(rows)
+    s = EPI.episode_summary(EPI.episode_rows(inp))
     return s.select(EPI.EP, EPI.PROV, "chunk_id", _dbl("max_dose").alias("max_dose"), "max_fractions")
 
 

@@ -29,7 +29,13 @@ EP = "RADIOTHERAPYEPISODEID"
 _STR = T.StringType()
 
 
-def _group_row(period: str, geo: Geo, spec: Spec) -> Column:
+# Grouping key while counting: the spec number stands for the constant
+# columns of its spec (period, geo level, level names), which are attached
+# after the count, so the shuffled keys stay narrow.
+NARROW_KEYS = ["spec_id", "activity_year", "activity_month", "wd", "geo_val", "prim_val", "lvl_2_val"]
+
+
+def _group_row(spec_id: int, period: str, geo: Geo, spec: Spec) -> Column:
     year = F.col("EPI_YEAR").cast("int")
     if period == fv.PERIOD_YEAR:
         month, wd = F.lit(None).cast("int"), F.lit(0.0)
@@ -41,30 +47,57 @@ def _group_row(period: str, geo: Geo, spec: Spec) -> Column:
         return F.lit(None).cast(_STR) if c is None else F.col(c).cast(_STR)
 
     return F.struct(
-        year.alias("activity_year"), month.alias("activity_month"),
-        F.lit(period).alias("period"), wd.alias("wd"),
-        F.lit(geo.geo_lvl).alias("geo_lvl"), geo_val.cast(_STR).alias("geo_val"),
-        F.lit(spec.prim_lvl).alias("prim_lvl"), val(spec.prim_col).alias("prim_val"),
-        F.lit(spec.lvl_2).cast(_STR).alias("lvl_2"), val(spec.lvl_2_col).alias("lvl_2_val"),
+        F.lit(spec_id).alias("spec_id"),
+        year.alias("activity_year"), month.alias("activity_month"), wd.alias("wd"),
+        geo_val.cast(_STR).alias("geo_val"),
+        val(spec.prim_col).alias("prim_val"), val(spec.lvl_2_col).alias("lvl_2_val"),
     )
 
 
+def _parallelism(df: DataFrame) -> int:
+    spark = df.sparkSession
+    try:
+        return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    except (TypeError, ValueError):
+        return spark.sparkContext.defaultParallelism
+
+
 def spec_rows(cleaned: DataFrame, specs=None) -> DataFrame:
-    """(episode, 10 group keys) rows: one per cleaned row and spec it is in."""
+    """(episode, spec number, group values) rows: one per cleaned row and
+    spec it is in.  The cleaned rows are first spread round-robin over the
+    shuffle partitions: the explode multiplies them by the number of specs,
+    so its parallelism must not depend on how small the cleaned table's
+    partitions were coalesced (round-robin also keeps a hot episode from
+    loading one task)."""
     specs = all_specs() if specs is None else specs
     arms = []
-    for period, geo, spec in specs:
-        row = _group_row(period, geo, spec)
+    for i, (period, geo, spec) in enumerate(specs):
+        row = _group_row(i, period, geo, spec)
         if spec.intents is not None:
             row = F.when(F.col("INTENT").isin(*spec.intents), row)
         arms.append(row)
-    return cleaned.select(F.col(EP), F.inline(F.array_compact(F.array(*arms))))
+    spread = cleaned.repartition(_parallelism(cleaned))
+    return spread.select(F.col(EP), F.inline(F.array_compact(F.array(*arms))))
+
+
+def _pick(values: list) -> Column:
+    """The spec's constant for each row, by spec number."""
+    arr = F.array(*[F.lit(v).cast(_STR) for v in values])
+    return F.element_at(arr, F.col("spec_id") + 1)
 
 
 def count_episodes(cleaned: DataFrame, specs=None) -> DataFrame:
     """Distinct episodes per group of every spec (exact, not approximate)."""
-    return (spec_rows(cleaned, specs).groupBy(*KEYS)
-            .agg(F.countDistinct(EP).alias("episodeCount")))
+    specs = all_specs() if specs is None else specs
+    counts = (spec_rows(cleaned, specs).groupBy(*NARROW_KEYS)
+              .agg(F.countDistinct(EP).alias("episodeCount")))
+    return counts.select(
+        "activity_year", "activity_month",
+        _pick([p for p, _, _ in specs]).alias("period"), "wd",
+        _pick([g.geo_lvl for _, g, _ in specs]).alias("geo_lvl"), "geo_val",
+        _pick([s.prim_lvl for _, _, s in specs]).alias("prim_lvl"), "prim_val",
+        _pick([s.lvl_2 for _, _, s in specs]).alias("lvl_2"), "lvl_2_val",
+        "episodeCount")
 
 
 def fold_low_counts(counts: DataFrame) -> DataFrame:

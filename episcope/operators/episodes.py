@@ -25,6 +25,7 @@ from ..functions import classify as C
 from ..functions import fixed_values as fv
 from ..plans.calendar import chunk_id, in_period
 from ..plans.params import DEFAULT, RunParams
+from ..session import materialize
 from ..sources.fixtures import Inputs
 
 EP = "radiotherapyepisodeid"
@@ -126,6 +127,22 @@ def with_patient(rows: DataFrame, patients: DataFrame) -> DataFrame:
     return rows.join(pa, "patientid", "left")
 
 
+# Row-level columns every later step needs.  Rows that agree on them differ
+# only in dose and fractions, whose per-episode maxima are all that is used.
+SKELETON = [EP, PROV, "chunk_id", MAPPED, "treatmentstartdate", "calendar_month",
+            "cancertype", "ordered_intent", "patientid"]
+
+
+def episode_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
+    """Core rows collapsed to one row per skeleton key (maxima of dose and
+    fractions kept) with the patient attached.  The collapse aggregates
+    map-side and shrinks the per-prescription rows to per-episode-day rows
+    before any further shuffle."""
+    sk = core_rows(inp, params).groupBy(*SKELETON).agg(
+        F.max("dose").alias("dose"), F.max("fractions").alias("fractions"))
+    return with_patient(sk, inp.at_patient)
+
+
 # -- per-episode aggregates (windows of the specification) -------------------
 
 def _first_known(value: str, order: list[str]) -> Column:
@@ -181,7 +198,9 @@ EPISODE_KEY = [
 def classified_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
     """Adult core rows with every per-episode value attached (before the
     address choice), one row per (attendance, prescription)."""
-    rows = with_patient(core_rows(inp, params), inp.at_patient)
+    # Written once to the checkpoint folder: the per-episode aggregates below
+    # join back to these rows twice, and a lost executor recomputes from here.
+    rows = materialize(episode_rows(inp, params), "episode_rows")
     rows = with_episode_summary(rows, params)
     # The per-episode first known values replace the patient's own.
     rows = (rows.drop("ethnicity", "ethnicityname", "sex")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..plans.params import DEFAULT, RunParams
+from ..session import materialize
 from ..sources.fixtures import Inputs
 from .address import address_geography, best_address
 from .episodes import EP, EPISODE_KEY, MAPPED, episode_keys
@@ -85,7 +86,7 @@ def count_per(rows: DataFrame, key: list[str], name: str = "COUNT") -> DataFrame
 def extract(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
     """The hand-over extract: distinct labelled rows plus the per
     episode-month count by provider name (21 columns)."""
-    rows = labelled_rows(inp, params).distinct()
+    rows = materialize(labelled_rows(inp, params).distinct(), "extract_rows")
     return count_per(rows, RECOUNT_KEY).select(*EXTRACT_COLUMNS)
 
 

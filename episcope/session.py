@@ -24,6 +24,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     """A local session for tests and the bench (UI off, AQE on)."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():

@@ -14,7 +14,9 @@ the seven-row provider network look-up, which is reference data by nature.
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,15 +134,70 @@ class Inputs:
     trustsics: DataFrame
 
 
+def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores (one small file of
+    one row group) is spread round-robin; large inputs are left alone."""
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+# Tables that grow with the data (the others are small dimensions).
+GROWING_TABLES = ("orders", "lineitem", "customer", "events")
+
+
 def read_base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
+    out = {}
+    for t in BASE_TABLES:
+        df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        out[t] = _spread(df, spark) if t in GROWING_TABLES else df
+    return out
 
 
-def load_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """Build every input view lazily from the driver's parquet tables."""
+def input_views(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Every input view as a lazy DataFrame over the driver's tables."""
     frames: dict[str, DataFrame] = read_base_tables(spark, sf_dir)
     for name in VIEW_TEMPLATES:
         deps = {d: frames[d] for d in set(view_dependencies(name))}
         text = render(name, "spark", table_ref=lambda n: "{" + n + "}")
         frames[name] = spark.sql(text, **deps)
     return Inputs(**{f: frames[f] for f in Inputs.__dataclass_fields__})
+
+
+# (application id, data folder, file stamps) -> folder of the prepared tables
+_PREPARED: dict[tuple, str] = {}
+
+
+def _stamp(sf_dir: str) -> tuple:
+    out = []
+    for t in BASE_TABLES:
+        st = os.stat(f"{sf_dir}/{t}.parquet")
+        out.append((t, st.st_size, int(st.st_mtime)))
+    return tuple(out)
+
+
+def prepare_inputs(spark: SparkSession, sf_dir: str) -> str:
+    """Write the input views once per session and data folder as Parquet
+    tables under the checkpoint folder -- the extract's input tables as a
+    database would hold them -- and return their folder."""
+    from ..session import ensure_checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _stamp(sf_dir))
+    folder = _PREPARED.get(key)
+    if folder:
+        return folder
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/inputs/{uuid.uuid4().hex}"
+    views = input_views(spark, sf_dir)
+    for f in Inputs.__dataclass_fields__:
+        getattr(views, f).write.mode("overwrite").parquet(f"{folder}/{f}")
+    _PREPARED[key] = folder
+    return folder
+
+
+def load_inputs(spark: SparkSession, sf_dir: str, prepared: bool = True) -> Inputs:
+    """The extract's input tables.  By default they are the prepared Parquet
+    tables (built on first use in the session); ``prepared=False`` gives the
+    lazy views over the driver's tables instead."""
+    if not prepared:
+        return input_views(spark, sf_dir)
+    folder = prepare_inputs(spark, sf_dir)
+    return Inputs(**{f: spark.read.parquet(f"{folder}/{f}") for f in Inputs.__dataclass_fields__})

@@ -155,7 +155,9 @@ FROM at_episodes e LEFT JOIN dup ON dup.radiotherapyepisodeid = e.radiotherapyep
 WHERE dup.radiotherapyepisodeid IS NULL""",
     "duplicate_episode_ids": "SELECT radiotherapyepisodeid FROM dup_ids",
     "filter_adult": f"""
-SELECT DISTINCT attendid, prescriptionid, tx_age, {_AGE_BAND} AS age FROM core WHERE tx_age >= 18""",
+SELECT DISTINCT radiotherapyepisodeid, orgcodeprovider AS mapped_provider,
+ {_day('treatmentstartdate')} AS treatmentstartdate, patientid, tx_age, {_AGE_BAND} AS age
+FROM core WHERE tx_age >= 18""",
     "best_address": f"""
 SELECT {_day('treatmentstartdate')} AS treatmentstartdate, radiotherapyepisodeid, orgcodeprovider AS mapped_provider,
  min_intent, cancertype, CAST(max_dose AS DOUBLE) AS max_dose, max_fractions, age, ethnicity, ethnicityname, sex,
