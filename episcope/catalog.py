@@ -488,6 +488,28 @@ def chunked_equals_single(spark, sf_dir):
     return X.count_per(parts, X.RECOUNT_KEY).select(*X.EXTRACT_COLUMNS)
 
 
+# -- hand-over files ----------------------------------------------------------------
+
+@query("extract_file_roundtrip")
+def extract_file_roundtrip(spark, sf_dir):
+    """The extract written as the pipe-delimited hand-over file (named by its
+    latest month) and read back with its explicit schema."""
+    from .session import scratch_path
+    from .sources.io import read_extract, write_extract
+    path = write_extract(extract_df(spark, sf_dir), scratch_path(spark, "extract"))
+    return read_extract(spark, path)
+
+
+@query("published_file_roundtrip")
+def published_file_roundtrip(spark, sf_dir):
+    """The published table written as date-stamped Parquet + review CSV and
+    read back from the Parquet copy."""
+    from .session import scratch_path
+    from .sources.io import write_published
+    paths = write_published(published_table(spark, sf_dir), scratch_path(spark, "published"))
+    return spark.read.parquet(paths["parquet"])
+
+
 # -- QA reports --------------------------------------------------------------------
 
 @query("qa_value_profile")

@@ -167,25 +167,26 @@ def episode_summary(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     )
 
 
-def with_episode_summary(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    keys = [EP, PROV] + _chunk_cols(params)
-    return rows.join(episode_summary(rows, params), keys, "inner")
+def with_age(rows: DataFrame) -> DataFrame:
+    """Whole years at treatment (null when the birth date is unknown)."""
+    return rows.withColumn("tx_age", C.age_at(F.col("treatmentstartdate"), F.col("birthdatebest")))
 
 
-def adults(rows: DataFrame) -> DataFrame:
-    """Age at treatment and its band; rows under 18 or of unknown age go."""
-    age = C.age_at(F.col("treatmentstartdate"), F.col("birthdatebest"))
-    return (rows.withColumn("tx_age", age)
-            .filter(F.col("tx_age") >= fv.ADULT_AGE)
-            .withColumn("age", C.age_band(F.col("tx_age"))))
+def is_adult() -> Column:
+    """Adults only; an unknown age fails the test."""
+    return F.col("tx_age") >= fv.ADULT_AGE
 
 
-def with_min_intent(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    """Lowest intent rank per (episode, merged provider[, chunk]), over the
-    adult rows only."""
-    keys = [EP, MAPPED] + _chunk_cols(params)
-    mins = rows.groupBy(*keys).agg(F.min("ordered_intent").alias("min_intent"))
-    return rows.join(mins, keys, "inner")
+def episode_values(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+    """Per (episode, submitted provider[, chunk]) the summary values, plus the
+    lowest intent rank over the *adult* rows of the episode at its *merged*
+    provider.  Both are small per-episode tables, joined to each other here
+    so that the rows need only one join back."""
+    chunk = _chunk_cols(params)
+    summary = episode_summary(rows, params).withColumn(MAPPED, C.provider_remap(F.col(PROV)))
+    mins = (rows.filter(is_adult()).groupBy(EP, MAPPED, *chunk)
+            .agg(F.min("ordered_intent").alias("min_intent")))
+    return summary.join(mins, [EP, MAPPED, *chunk], "left").drop(MAPPED)
 
 
 # The columns that identify a candidate row of the best-address choice.
@@ -196,20 +197,21 @@ EPISODE_KEY = [
 
 
 def classified_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
-    """Adult core rows with every per-episode value attached (before the
-    address choice), one row per (attendance, prescription)."""
-    # Written once to the checkpoint folder: the per-episode aggregates below
-    # join back to these rows twice, and a lost executor recomputes from here.
-    rows = materialize(episode_rows(inp, params), "episode_rows")
-    rows = with_episode_summary(rows, params)
+    """Adult episode rows with every per-episode value attached (before the
+    address choice)."""
+    # Written once to the checkpoint folder: the per-episode aggregates are
+    # computed from these rows and joined back to them, and a lost executor
+    # recomputes from here rather than from the raw facts.
+    rows = with_age(materialize(episode_rows(inp, params), "episode_rows"))
+    keys = [EP, PROV] + _chunk_cols(params)
+    rows = rows.filter(is_adult()).join(episode_values(rows, params), keys, "inner")
     # The per-episode first known values replace the patient's own.
-    rows = (rows.drop("ethnicity", "ethnicityname", "sex")
+    return (rows.drop("ethnicity", "ethnicityname", "sex")
             .withColumnRenamed("first_ethnicity", "ethnicity")
             .withColumnRenamed("first_ethnicityname", "ethnicityname")
             .withColumnRenamed("first_sex", "sex")
-            .withColumn("sexname", C.sex_name(F.col("sex"))))
-    rows = adults(rows)
-    return with_min_intent(rows, params)
+            .withColumn("sexname", C.sex_name(F.col("sex")))
+            .withColumn("age", C.age_band(F.col("tx_age"))))
 
 
 def episode_keys(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:

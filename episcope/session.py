@@ -15,6 +15,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE may turn a sort-merge join into a shuffled hash join when every
+    # post-shuffle partition of the build side is below this size (a run-time
+    # size check; larger partitions keep the spillable sort-merge join).
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

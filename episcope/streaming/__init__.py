@@ -1,0 +1,9 @@
+"""Streaming: nothing to build.
+
+The specification has no stream, watermark, event-time window or state: the
+statistics are refreshed by a monthly batch rerun with new parameters (period
+end, completeness cut-offs).  That rerun is ``episcope.plans.monthly``; late
+months are handled by its completeness cut-off, not by a watermark.  This
+package stays empty on purpose rather than carrying a streaming job the
+specification does not have.
+"""

@@ -223,6 +223,8 @@ SELECT DISTINCT RADIOTHERAPYEPISODEID, CANCERTYPE, ORGCODEPROVIDER, CALENDAR_MON
     "episode_month_recount": """
 SELECT DISTINCT RADIOTHERAPYEPISODEID, PROVIDER_NAME, CANCERTYPE, CALENDAR_MONTH, "COUNT" FROM extract""",
     "chunked_equals_single": "SELECT * FROM extract",
+    "extract_file_roundtrip": "SELECT * FROM extract",
+    "published_file_roundtrip": "SELECT * FROM published",
     "qa_value_profile": None,  # filled below
     "qa_unmatched_months": f"""
 SELECT DISTINCT {_day('MONTH_DATE')} AS calendar_month, WORKING_DAYS AS working_days FROM with_wd WHERE EPI_YEAR IS NULL""",
