@@ -210,21 +210,21 @@ def _dose_cols():
 @query("fractionation_category")
 def fractionation_category(spark, sf_dir):
     k = _keys(spark, sf_dir)
-    cat = C.fractionation_category(F.col("min_intent"), F.col("max_dose"), F.col("max_fractions"))
+    cat = C.fractionation_category("min_intent", "max_dose", "max_fractions")
     return k.select(*_dose_cols(), cat.alias("fractionation_category")).distinct()
 
 
 @query("schedule_label")
 def schedule_label(spark, sf_dir):
     k = _keys(spark, sf_dir)
-    lab = C.schedule_label(F.col("cancertype"), F.col("min_intent"), F.col("max_dose"), F.col("max_fractions"))
+    lab = C.schedule_label("cancertype", "min_intent", "max_dose", "max_fractions")
     return k.select("cancertype", *_dose_cols(), lab.alias("dose_fractionation_schedules")).distinct()
 
 
 @query("schedule_group")
 def schedule_group(spark, sf_dir):
     k = _keys(spark, sf_dir)
-    grp = C.schedule_group(F.col("cancertype"), F.col("min_intent"), F.col("max_dose"), F.col("max_fractions"))
+    grp = C.schedule_group("cancertype", "min_intent", "max_dose", "max_fractions")
     return k.select("cancertype", *_dose_cols(), grp.alias("schedule_group")).distinct()
 
 

@@ -1,13 +1,12 @@
 """Column expressions that classify an episode (all JVM-side built-ins).
 
-Each function takes ``Column`` arguments and returns a ``Column``; the rule
-tables they read live in ``fixed_values``.
+Each function returns a ``Column``; most take ``Column`` arguments, the dose
+rules take column names (see below).  The rule tables live in
+``fixed_values``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -95,32 +94,51 @@ def home_area(lsoa: Column, authority_name: Column, icb_name: Column) -> Column:
     return F.when(outside, authority_name).otherwise(icb_name)
 
 
-def dose_per_fraction(dose: Column, fractions: Column) -> Column:
+# The dose rules are long CASE chains.  They are generated once as SQL text
+# from the rule tables and handed to Spark as one expression (``F.expr``):
+# the same Catalyst expression as the equivalent ``when`` chain, built with
+# one call instead of thousands of small ones.  Arguments are column names.
+
+def _num(v) -> str:
+    return str(v)
+
+
+def _sql_box(dose: str, fx: str, dlo, dhi, flo, fhi) -> str:
+    fcond = f"{fx} = {flo}" if flo == fhi else f"{fx} BETWEEN {flo} AND {fhi}"
+    return f"({dose} BETWEEN {_num(dlo)} AND {_num(dhi)} AND {fcond})"
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def dose_per_fraction_sql(dose: str, fx: str) -> str:
     """``round(dose / fractions, 2)``; zero fractions give null, not an error."""
-    return F.round(F.try_divide(dose, fractions), 2)
+    return f"round(try_divide({dose}, {fx}), 2)"
 
 
-def fractionation_category(rank: Column, dose: Column, fractions: Column) -> Column:
-    r = dose_per_fraction(dose, fractions)
-    radical = rank == 2
+def fractionation_category(rank: str, dose: str, fx: str) -> Column:
+    r = dose_per_fraction_sql(dose, fx)
     arms = []
     for lo, hi, label in fv.FRACTIONATION_CATEGORIES:
         if lo is None and hi is None:
-            cond = r < F.lit(fv.FRACTIONATION_LESS_THAN)
+            cond = f"{r} < {fv.FRACTIONATION_LESS_THAN}"
         elif hi is None:
-            cond = r >= F.lit(lo)
+            cond = f"{r} >= {lo}"
         else:
-            cond = r.between(F.lit(lo), F.lit(hi))
-        arms.append((radical & cond, F.lit(label)))
-    return _chain(arms, F.lit(fv.FRACTIONATION_OTHER))
+            cond = f"{r} BETWEEN {lo} AND {hi}"
+        arms.append(f"WHEN {rank} = 2 AND {cond} THEN {_sql_str(label)}")
+    return F.expr("CASE " + " ".join(arms) + f" ELSE {_sql_str(fv.FRACTIONATION_OTHER)} END")
 
 
-def _in_box(dose: Column, fractions: Column, dlo, dhi, flo, fhi) -> Column:
-    fcond = (fractions == flo) if flo == fhi else fractions.between(flo, fhi)
-    return dose.between(F.lit(dlo), F.lit(dhi)) & fcond
+def _boxes_by_tumour(boxes) -> dict:
+    out: dict[str, list] = {}
+    for t, *rest in boxes:
+        out.setdefault(t, []).append(rest)
+    return out
 
 
-def schedule_label(tumour: Column, rank: Column, dose: Column, fractions: Column) -> Column:
+def schedule_label(tumour: str, rank: str, dose: str, fx: str) -> Column:
     """Dose-fractionation schedule: palliative by number of fractions, radical
     by the first matching (tumour, dose, fractions) box, else 'other'.
 
@@ -128,41 +146,37 @@ def schedule_label(tumour: Column, rank: Column, dose: Column, fractions: Column
     boxes in order inside), which keeps first-match order and lets a row test
     only its own tumour's boxes.
     """
+    other = _sql_str(fv.SCHEDULE_OTHER)
     arms = []
     for lo, hi, label in fv.PALLIATIVE_SCHEDULES:
-        fcond = (fractions == lo) if lo == hi else (
-            fractions >= lo if hi is None else fractions.between(lo, hi))
-        arms.append(((rank == 1) & fcond, F.lit(label)))
-    by_tumour: dict[str, list] = {}
-    for t, dlo, dhi, flo, fhi, label in fv.SCHEDULE_BOXES:
-        by_tumour.setdefault(t, []).append((dlo, dhi, flo, fhi, label))
-    other = F.lit(fv.SCHEDULE_OTHER)
-    for t, boxes in by_tumour.items():
-        inner = _chain([(_in_box(dose, fractions, *b[:4]), F.lit(b[4])) for b in boxes], other)
-        arms.append(((rank == 2) & (tumour == t), inner))
-    return _chain(arms, other)
-
-
-def _any_box(tumour: Column, dose: Column, fractions: Column, boxes) -> Column:
-    by_tumour: dict[str, list[Column]] = {}
-    for t, dlo, dhi, flo, fhi, *_ in boxes:
-        by_tumour.setdefault(t, []).append(_in_box(dose, fractions, dlo, dhi, flo, fhi))
-    return reduce(lambda a, b: a | b,
-                  [(tumour == t) & reduce(lambda a, b: a | b, conds)
-                   for t, conds in by_tumour.items()])
-
-
-def schedule_group(tumour: Column, rank: Column, dose: Column, fractions: Column) -> Column:
+        fcond = f"{fx} = {lo}" if lo == hi else (
+            f"{fx} >= {lo}" if hi is None else f"{fx} BETWEEN {lo} AND {hi}")
+        arms.append(f"WHEN {rank} = 1 AND {fcond} THEN {_sql_str(label)}")
+    for t, boxes in _boxes_by_tumour(fv.SCHEDULE_BOXES).items():
+        inner = " ".join(f"WHEN {_sql_box(dose, fx, *b[:4])} THEN {_sql_str(b[4])}" for b in boxes)
+        arms.append(f"WHEN {rank} = 2 AND {tumour} = {_sql_str(t)} THEN CASE {inner} ELSE {other} END")
+    return F.expr("CASE " + " ".join(arms) + f" ELSE {other} END")
+
+
+def _sql_any_box(tumour: str, dose: str, fx: str, boxes) -> str:
+    parts = []
+    for t, bs in _boxes_by_tumour(boxes).items():
+        inner = " OR ".join(_sql_box(dose, fx, *b[:4]) for b in bs)
+        parts.append(f"({tumour} = {_sql_str(t)} AND ({inner}))")
+    return "(" + " OR ".join(parts) + ")"
+
+
+def schedule_group(tumour: str, rank: str, dose: str, fx: str) -> Column:
     """Inside / outside the selected curative schedules.
 
     Override boxes come before the inside boxes of their tumour, and both the
     overrides and the default give 'outside', so a row is inside exactly when
     it hits an inside box and no override box.
     """
-    radical = rank == 2
-    inside = _any_box(tumour, dose, fractions, fv.SCHEDULE_BOXES)
-    override = _any_box(tumour, dose, fractions, fv.SCHEDULE_GROUP_OVERRIDES)
-    return (F.when(rank == 1, F.lit(fv.SCHEDULE_GROUP_PALLIATIVE))
-            .when(radical & inside & ~F.coalesce(override, F.lit(False)),
-                  F.lit(fv.SCHEDULE_GROUP_INSIDE))
-            .otherwise(F.lit(fv.SCHEDULE_GROUP_OUTSIDE)))
+    inside = _sql_any_box(tumour, dose, fx, fv.SCHEDULE_BOXES)
+    override = _sql_any_box(tumour, dose, fx, fv.SCHEDULE_GROUP_OVERRIDES)
+    return F.expr(
+        f"CASE WHEN {rank} = 1 THEN {_sql_str(fv.SCHEDULE_GROUP_PALLIATIVE)} "
+        f"WHEN {rank} = 2 AND {inside} AND NOT coalesce({override}, false) "
+        f"THEN {_sql_str(fv.SCHEDULE_GROUP_INSIDE)} "
+        f"ELSE {_sql_str(fv.SCHEDULE_GROUP_OUTSIDE)} END")

@@ -41,8 +41,7 @@ def labelled_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
         F.col("provider_code").alias(MAPPED), "country", "provider_name",
         "rt_network_name", "cancer_alliance_old", "cancer_alliance_new"))
     rows = rows.join(net, MAPPED, "left")
-    rank, tumour = F.col("min_intent"), F.col("cancertype")
-    dose, fx = F.col("max_dose"), F.col("max_fractions")
+    rank, tumour, dose, fx = "min_intent", "cancertype", "max_dose", "max_fractions"
     return rows.select(
         F.col(MAPPED).alias("ORGCODEPROVIDER"),
         F.col("country").alias("COUNTRY"),
@@ -51,8 +50,8 @@ def labelled_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
         F.col("cancer_alliance_old").alias("CANCER_ALLIANCE_OLD"),
         F.col("cancer_alliance_new").alias("CANCER_ALLIANCE_NEW"),
         F.col("calendar_month").alias("CALENDAR_MONTH"),
-        tumour.alias("CANCERTYPE"),
-        C.intent_label(rank).alias("INTENT"),
+        F.col(tumour).alias("CANCERTYPE"),
+        C.intent_label(F.col(rank)).alias("INTENT"),
         C.fractionation_category(rank, dose, fx).alias("FRACTIONATION_CATEGORY"),
         F.col("age").alias("AGE"),
         F.col("ethnicity").alias("ETHNICITY"),

@@ -11,11 +11,21 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
+# (application id, plan hash, bound) -> verdict; look-up tables do not change
+# within a session, so each is checked once.
+_VERDICTS: dict[tuple, bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint ``broadcast`` only after proving ``df`` has <= ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it stays cheap even when the table turns out to be large.
+    early), so it stays cheap even when the table turns out to be large; the
+    verdict is remembered per session and plan.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    small = _VERDICTS.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _VERDICTS[key] = small
+    return F.broadcast(df) if small else df

@@ -60,7 +60,7 @@ def _boundary_rows():
 def test_schedule_label_and_group_boundaries(spark):
     rows = _boundary_rows()
     df = spark.createDataFrame(rows, SCHEMA)
-    t, r, d, f = (F.col(c) for c in ("cancertype", "min_intent", "max_dose", "max_fractions"))
+    t, r, d, f = "cancertype", "min_intent", "max_dose", "max_fractions"
     out = df.select("*", C.schedule_label(t, r, d, f).alias("label"),
                     C.schedule_group(t, r, d, f).alias("grp")).collect()
     assert len(out) == len(rows)
@@ -73,7 +73,7 @@ def test_schedule_label_and_group_boundaries(spark):
 def test_overlapping_boxes_first_match(spark):
     # BRAIN 35-41 Gy in 15 fractions is in two boxes; the earlier one wins.
     df = spark.createDataFrame([("BRAIN", 2, Decimal("38"), 15)], SCHEMA)
-    t, r, d, f = (F.col(c) for c in ("cancertype", "min_intent", "max_dose", "max_fractions"))
+    t, r, d, f = "cancertype", "min_intent", "max_dose", "max_fractions"
     assert df.select(C.schedule_label(t, r, d, f)).first()[0] == "30-40 Gy in 6-15 fractions"
 
 
@@ -91,8 +91,7 @@ def test_overlapping_boxes_first_match(spark):
 ])
 def test_fractionation_category(spark, dose, fx, rank, expected):
     df = spark.createDataFrame([("X", rank, Decimal(dose), fx)], SCHEMA)
-    got = df.select(C.fractionation_category(F.col("min_intent"), F.col("max_dose"),
-                                             F.col("max_fractions"))).first()[0]
+    got = df.select(C.fractionation_category("min_intent", "max_dose", "max_fractions")).first()[0]
     assert got == expected
 
 
