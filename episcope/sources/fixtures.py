@@ -200,4 +200,12 @@ def load_inputs(spark: SparkSession, sf_dir: str, prepared: bool = True) -> Inpu
     if not prepared:
         return input_views(spark, sf_dir)
     folder = prepare_inputs(spark, sf_dir)
-    return Inputs(**{f: spark.read.parquet(f"{folder}/{f}") for f in Inputs.__dataclass_fields__})
+    inputs = _READ.get(folder)
+    if inputs is None:
+        inputs = Inputs(**{f: spark.read.parquet(f"{folder}/{f}") for f in Inputs.__dataclass_fields__})
+        _READ[folder] = inputs
+    return inputs
+
+
+# prepared folder -> its tables as DataFrames (plans only, no data held)
+_READ: dict[str, Inputs] = {}
