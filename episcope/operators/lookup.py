@@ -23,7 +23,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     early), so it stays cheap even when the table turns out to be large; the
     verdict is remembered per session and plan.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    from ..session import app_id
+
+    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
     small = _VERDICTS.get(key)
     if small is None:
         small = df.limit(max_rows + 1).count() <= max_rows

@@ -39,13 +39,32 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_DIR: str | None = None
+
+
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 -- sessions without a SparkContext
+        return spark.conf.get("spark.app.id", "session")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as is.  Only when it is unset (local tests) a private folder is made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- sessions without a SparkContext
+        global _LOCAL_DIR
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        _LOCAL_DIR = _LOCAL_DIR or tempfile.mkdtemp(prefix="episcope-ckpt-")
+        return _LOCAL_DIR
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = sc.getConf().get("spark.checkpoint.dir", None)

@@ -137,8 +137,12 @@ class Inputs:
 def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
     """A scan with fewer splits than the cluster has cores (one small file of
     one row group) is spread round-robin; large inputs are left alone."""
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- sessions without a SparkContext
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 # Tables that grow with the data (the others are small dimensions).
@@ -181,7 +185,9 @@ def prepare_inputs(spark: SparkSession, sf_dir: str) -> str:
     database would hold them -- and return their folder."""
     from ..session import ensure_checkpoint_dir
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _stamp(sf_dir))
+    from ..session import app_id
+
+    key = (app_id(spark), os.path.abspath(sf_dir), _stamp(sf_dir))
     folder = _PREPARED.get(key)
     if folder:
         return folder
