@@ -5,12 +5,23 @@ the latest address dated on or before the treatment start first, then the
 soonest after it, undated addresses ranking as 9999 days after; address id
 breaks ties (nulls last).  It then keeps rank 1.
 
-Top-1-per-group is written as a ``min`` over an ordering struct: it
-aggregates map-side, so a patient or episode with a huge address history
-never has to be gathered and sorted in one task, and it needs no window
-sort.  Rows with equal rank and address id (an address matching several
-look-up rows) are ordered by home area, then deprivation, nulls last, so the
-choice is deterministic.
+Pairing every episode day with every address of its patient would emit all
+pairs within a patient (quadratic for a patient holding many rows of both).
+Instead the choice is made exactly from three candidates per (patient, day):
+
+* the best address on the latest address date <= day,
+* the best address on the soonest address date > day,
+* the best undated address,
+
+compared under the specification's rank.  The latest/soonest address dates
+are an as-of lookup done with aggregates and equi-joins only: address dates
+are summarised per dyadic day block (max and min per block, 22 levels), and
+a day's prefix [0, day] and suffix (day, end) each decompose into at most 22
+such blocks.  Every step is a bounded explode, a map-side aggregate or an
+equi-join AQE can split; no pair of rows of one patient is ever formed.
+Rows with equal rank and address id (an address matching several look-up
+rows) are ordered by home area, then deprivation, nulls last, so the choice
+is deterministic.
 """
 
 from __future__ import annotations
@@ -53,13 +64,19 @@ def address_rank(address_date, start_date):
             .otherwise(F.datediff(address_date, start_date)))
 
 
-def best_address(keys: DataFrame, key_cols: list[str], geo: DataFrame) -> DataFrame:
-    """For each key (carrying ``patientid`` and ``treatmentstartdate``) the
-    home area and deprivation of its best address.  Keys without any address
-    keep null geography, like the left join they stand for."""
-    cand = keys.join(geo, "patientid", "left")
-    pref = F.struct(
-        address_rank(F.col("dateofaddress"), F.col("treatmentstartdate")).alias("r"),
+# Day numbers count from this date; 22 levels of dyadic blocks cover 2**22
+# days (to the year 9999).
+DAY_ZERO = "0001-01-01"
+LEVELS = 22
+
+
+def _day_number(c):
+    return F.datediff(c, F.lit(DAY_ZERO).cast("date"))
+
+
+def _tie_break() -> "Column":
+    """Order of addresses on the same date (and of undated ones)."""
+    return F.struct(
         F.col("addressid").isNull().alias("id_null"),
         F.col("addressid").alias("id"),
         F.col("icb_hb").isNull().alias("icb_null"),
@@ -67,7 +84,82 @@ def best_address(keys: DataFrame, key_cols: list[str], geo: DataFrame) -> DataFr
         F.col("imd19_quintile_lsoas").isNull().alias("imd_null"),
         F.col("imd19_quintile_lsoas").alias("imd"),
     )
-    best = cand.groupBy(*key_cols).agg(F.min(pref).alias("best"))
+
+
+def _levels():
+    return F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("lvl")
+
+
+def address_date_blocks(geo: DataFrame) -> DataFrame:
+    """(patient, level, block) -> latest and earliest address day in it."""
+    days = geo.filter(F.col("dateofaddress").isNotNull()).select(
+        "patientid", _day_number(F.col("dateofaddress")).alias("x"))
+    return (days.select("patientid", "x", _levels())
+            .withColumn("blk", F.expr("shiftright(x, lvl)"))
+            .groupBy("patientid", "lvl", "blk")
+            .agg(F.max("x").alias("blk_max"), F.min("x").alias("blk_min")))
+
+
+def neighbour_address_days(days: DataFrame, blocks: DataFrame) -> DataFrame:
+    """For each (patient, treatment date): the latest address day <= the date
+    (``prev``) and the soonest address day after it (``next``).
+
+    [0, t] is the union of the level-``l`` blocks ``((t+1) >> l) - 1`` for the
+    set bits ``l`` of ``t+1``; (t, 2**22) is the union of the blocks
+    ``(t >> l) + 1`` for the clear bits ``l`` of ``t``."""
+    t = days.select("patientid", "treatmentstartdate",
+                    _day_number(F.col("treatmentstartdate")).alias("t"))
+    exploded = t.select("*", _levels())
+    prefix = (exploded.filter(F.expr("shiftright(t + 1, lvl) & 1 = 1"))
+              .select("patientid", "treatmentstartdate", "lvl",
+                      F.expr("shiftright(t + 1, lvl) - 1").alias("blk"), F.lit(True).alias("before")))
+    suffix = (exploded.filter(F.expr("shiftright(t, lvl) & 1 = 0"))
+              .select("patientid", "treatmentstartdate", "lvl",
+                      F.expr("shiftright(t, lvl) + 1").alias("blk"), F.lit(False).alias("before")))
+    hits = prefix.unionByName(suffix).join(blocks, ["patientid", "lvl", "blk"], "inner")
+    return hits.groupBy("patientid", "treatmentstartdate").agg(
+        F.max(F.when(F.col("before"), F.col("blk_max"))).alias("prev"),
+        F.min(F.when(~F.col("before"), F.col("blk_min"))).alias("next"))
+
+
+def best_address_per_day(days: DataFrame, geo: DataFrame) -> DataFrame:
+    """(patient, treatment date) -> the preferred address as a ranked struct
+    (null when the patient has no address)."""
+    dated = geo.filter(F.col("dateofaddress").isNotNull())
+    on_day = (dated.groupBy("patientid", _day_number(F.col("dateofaddress")).alias("x"))
+              .agg(F.min(_tie_break()).alias("b")))
+    undated = (geo.filter(F.col("dateofaddress").isNull()).groupBy("patientid")
+               .agg(F.min(_tie_break()).alias("b_undated")))
+    nb = neighbour_address_days(days, address_date_blocks(geo))
+    prev = on_day.select("patientid", F.col("x").alias("prev"), F.col("b").alias("b_prev"))
+    nxt = on_day.select("patientid", F.col("x").alias("next"), F.col("b").alias("b_next"))
+    c = (days.join(nb, ["patientid", "treatmentstartdate"], "left")
+         .join(prev, ["patientid", "prev"], "left")
+         .join(nxt, ["patientid", "next"], "left")
+         .join(undated, "patientid", "left"))
+    anchor = _day_number(F.lit(RANK_ANCHOR).cast("date"))
+    t = _day_number(F.col("treatmentstartdate"))
+
+    def ranked(rank, b):
+        return F.when(F.col(b).isNotNull(), F.struct(
+            rank.alias("r"), *[F.col(f"{b}.{f}").alias(f) for f in
+                               ("id_null", "id", "icb_null", "icb", "imd_null", "imd")]))
+
+    best = F.least(ranked(anchor - F.col("prev"), "b_prev"),
+                   ranked(F.col("next") - t, "b_next"),
+                   ranked(F.lit(NO_DATE_RANK), "b_undated"))
+    return c.select("patientid", "treatmentstartdate", best.alias("best"))
+
+
+def best_address(keys: DataFrame, key_cols: list[str], geo: DataFrame) -> DataFrame:
+    """For each key (carrying ``patientid`` and ``treatmentstartdate``) the
+    home area and deprivation of its best address.  The date is part of every
+    key, so the key's best is the best of its patients' per-day bests (a min
+    of mins).  Keys whose patients have no address keep null geography."""
+    days = keys.select("patientid", "treatmentstartdate").distinct()
+    per_day = best_address_per_day(days, geo)
+    best = (keys.join(per_day, ["patientid", "treatmentstartdate"], "left")
+            .groupBy(*key_cols).agg(F.min("best").alias("best")))
     return best.select(*key_cols,
                        F.col("best.icb").alias("icb_hb"),
                        F.col("best.imd").alias("imd19_quintile_lsoas"),
