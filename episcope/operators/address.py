@@ -26,10 +26,13 @@ is deterministic.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify as C
+from ..functions.fixed_values import PERIOD_END, PERIOD_START
 from ..sources.fixtures import Inputs
 from .lookup import bounded_broadcast
 
@@ -64,14 +67,8 @@ def address_rank(address_date, start_date):
             .otherwise(F.datediff(address_date, start_date)))
 
 
-# Day numbers count from this date; 22 levels of dyadic blocks cover 2**22
-# days (to the year 9999).
-DAY_ZERO = "0001-01-01"
-LEVELS = 22
-
-
-def _day_number(c):
-    return F.datediff(c, F.lit(DAY_ZERO).cast("date"))
+def _day_number(c, zero: str):
+    return F.datediff(c, F.lit(zero).cast("date"))
 
 
 def _tie_break() -> "Column":
@@ -86,78 +83,86 @@ def _tie_break() -> "Column":
     )
 
 
-def _levels():
-    return F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("lvl")
-
-
-def address_date_blocks(geo: DataFrame) -> DataFrame:
-    """(patient, level, block) -> latest and earliest address day in it."""
-    days = geo.filter(F.col("dateofaddress").isNotNull()).select(
-        "patientid", _day_number(F.col("dateofaddress")).alias("x"))
-    return (days.select("patientid", "x", _levels())
-            .withColumn("blk", F.expr("shiftright(x, lvl)"))
-            .groupBy("patientid", "lvl", "blk")
-            .agg(F.max("x").alias("blk_max"), F.min("x").alias("blk_min")))
-
-
-def neighbour_address_days(days: DataFrame, blocks: DataFrame) -> DataFrame:
-    """For each (patient, treatment date): the latest address day <= the date
-    (``prev``) and the soonest address day after it (``next``).
-
-    [0, t] is the union of the level-``l`` blocks ``((t+1) >> l) - 1`` for the
-    set bits ``l`` of ``t+1``; (t, 2**22) is the union of the blocks
-    ``(t >> l) + 1`` for the clear bits ``l`` of ``t``."""
-    t = days.select("patientid", "treatmentstartdate",
-                    _day_number(F.col("treatmentstartdate")).alias("t"))
-    exploded = t.select("*", _levels())
+def _levels(n: int):
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("lvl")
+
+
+def neighbour_address_days(days: DataFrame, on_day: DataFrame, span: int) -> DataFrame:
+    """For each (patient, treatment day ``t``, 0 <= t <= span): the latest
+    address day <= t (``prev``) and the soonest address day > t (``next``).
+
+    Address days outside [0, span] do not depend on ``t``: one max (before)
+    and one min (after) per patient.  Inside, address days are summarised
+    per dyadic block (max and min per level and block), and [0, t] is the
+    union of the blocks ``((t+1) >> l) - 1`` for the set bits ``l`` of
+    ``t+1``, (t, 2**L) the union of the blocks ``(t >> l) + 1`` for the
+    clear bits ``l`` of ``t`` -- at most L blocks each, L = bits of span+1."""
+    levels = max(int(span + 1).bit_length(), 1)
+    dated = on_day.filter(F.col("x").isNotNull())
+    outside = dated.groupBy("patientid").agg(
+        F.max(F.when(F.col("x") < 0, F.col("x"))).alias("prev_out"),
+        F.min(F.when(F.col("x") > span, F.col("x"))).alias("next_out"))
+    blocks = (dated.filter(F.col("x").between(0, span)).select("patientid", "x", _levels(levels))
+              .withColumn("blk", F.expr("shiftright(x, lvl)"))
+              .groupBy("patientid", "lvl", "blk")
+              .agg(F.max("x").alias("blk_max"), F.min("x").alias("blk_min")))
+    exploded = days.select("patientid", "t", _levels(levels))
     prefix = (exploded.filter(F.expr("shiftright(t + 1, lvl) & 1 = 1"))
-              .select("patientid", "treatmentstartdate", "lvl",
-                      F.expr("shiftright(t + 1, lvl) - 1").alias("blk"), F.lit(True).alias("before")))
+              .select("patientid", "t", "lvl", F.expr("shiftright(t + 1, lvl) - 1").alias("blk"),
+                      F.lit(True).alias("before")))
     suffix = (exploded.filter(F.expr("shiftright(t, lvl) & 1 = 0"))
-              .select("patientid", "treatmentstartdate", "lvl",
-                      F.expr("shiftright(t, lvl) + 1").alias("blk"), F.lit(False).alias("before")))
-    hits = prefix.unionByName(suffix).join(blocks, ["patientid", "lvl", "blk"], "inner")
-    return hits.groupBy("patientid", "treatmentstartdate").agg(
-        F.max(F.when(F.col("before"), F.col("blk_max"))).alias("prev"),
-        F.min(F.when(~F.col("before"), F.col("blk_min"))).alias("next"))
-
-
-def best_address_per_day(days: DataFrame, geo: DataFrame) -> DataFrame:
+              .select("patientid", "t", "lvl", F.expr("shiftright(t, lvl) + 1").alias("blk"),
+                      F.lit(False).alias("before")))
+    inside = (prefix.unionByName(suffix).join(blocks, ["patientid", "lvl", "blk"], "inner")
+              .groupBy("patientid", "t")
+              .agg(F.max(F.when(F.col("before"), F.col("blk_max"))).alias("prev_in"),
+                   F.min(F.when(~F.col("before"), F.col("blk_min"))).alias("next_in")))
+    return (days.join(inside, ["patientid", "t"], "left").join(outside, "patientid", "left")
+            .select("patientid", "t",
+                    F.coalesce("prev_in", "prev_out").alias("prev"),
+                    F.coalesce("next_in", "next_out").alias("next")))
+
+
+def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_day: str) -> DataFrame:
     """(patient, treatment date) -> the preferred address as a ranked struct
-    (null when the patient has no address)."""
-    dated = geo.filter(F.col("dateofaddress").isNotNull())
-    on_day = (dated.groupBy("patientid", _day_number(F.col("dateofaddress")).alias("x"))
-              .agg(F.min(_tie_break()).alias("b")))
-    undated = (geo.filter(F.col("dateofaddress").isNull()).groupBy("patientid")
-               .agg(F.min(_tie_break()).alias("b_undated")))
-    nb = neighbour_address_days(days, address_date_blocks(geo))
-    prev = on_day.select("patientid", F.col("x").alias("prev"), F.col("b").alias("b_prev"))
-    nxt = on_day.select("patientid", F.col("x").alias("next"), F.col("b").alias("b_next"))
-    c = (days.join(nb, ["patientid", "treatmentstartdate"], "left")
-         .join(prev, ["patientid", "prev"], "left")
-         .join(nxt, ["patientid", "next"], "left")
-         .join(undated, "patientid", "left"))
-    anchor = _day_number(F.lit(RANK_ANCHOR).cast("date"))
-    t = _day_number(F.col("treatmentstartdate"))
-
-    def ranked(rank, b):
-        return F.when(F.col(b).isNotNull(), F.struct(
-            rank.alias("r"), *[F.col(f"{b}.{f}").alias(f) for f in
-                               ("id_null", "id", "icb_null", "icb", "imd_null", "imd")]))
-
-    best = F.least(ranked(anchor - F.col("prev"), "b_prev"),
-                   ranked(F.col("next") - t, "b_next"),
-                   ranked(F.lit(NO_DATE_RANK), "b_undated"))
-    return c.select("patientid", "treatmentstartdate", best.alias("best"))
-
-
-def best_address(keys: DataFrame, key_cols: list[str], geo: DataFrame) -> DataFrame:
+    (null when the patient has no address).  Treatment dates must lie in
+    [first_day, last_day] (the extraction period)."""
+    zero = first_day
+    span = (dt.date.fromisoformat(last_day) - dt.date.fromisoformat(first_day)).days
+    on_day = geo.groupBy("patientid", _day_number(F.col("dateofaddress"), zero).alias("x")).agg(
+        F.min(_tie_break()).alias("b"))
+    d = days.select("patientid", "treatmentstartdate",
+                    _day_number(F.col("treatmentstartdate"), zero).alias("t"))
+    nb = neighbour_address_days(d.select("patientid", "t").distinct(), on_day, span)
+    # Three look-ups per day: the address day before, the one after, undated.
+    looks = d.join(nb, ["patientid", "t"], "left").select(
+        "patientid", "treatmentstartdate", "t",
+        F.explode(F.array(
+            F.struct(F.lit(0).alias("kind"), F.col("prev").alias("x")),
+            F.struct(F.lit(1).alias("kind"), F.col("next").alias("x")),
+            F.struct(F.lit(2).alias("kind"), F.lit(None).cast("int").alias("x")))).alias("look"))
+    looks = looks.select("patientid", "treatmentstartdate", "t", "look.kind", "look.x").filter(
+        (F.col("kind") == 2) | F.col("x").isNotNull())
+    cand = looks.join(on_day.withColumnRenamed("x", "ax").withColumnRenamed("patientid", "ap"),
+                      (F.col("patientid") == F.col("ap")) & F.col("x").eqNullSafe(F.col("ax")), "left")
+    anchor = _day_number(F.lit(RANK_ANCHOR).cast("date"), zero)
+    rank = (F.when(F.col("kind") == 0, anchor - F.col("x"))
+            .when(F.col("kind") == 1, F.col("x") - F.col("t"))
+            .otherwise(F.lit(NO_DATE_RANK)))
+    ranked = F.when(F.col("b").isNotNull(), F.struct(
+        rank.alias("r"), *[F.col(f"b.{f}").alias(f) for f in
+                           ("id_null", "id", "icb_null", "icb", "imd_null", "imd")]))
+    return cand.groupBy("patientid", "treatmentstartdate").agg(F.min(ranked).alias("best"))
+
+
+def best_address(keys: DataFrame, key_cols: list[str], geo: DataFrame,
+                 first_day: str = PERIOD_START, last_day: str = PERIOD_END) -> DataFrame:
     """For each key (carrying ``patientid`` and ``treatmentstartdate``) the
     home area and deprivation of its best address.  The date is part of every
     key, so the key's best is the best of its patients' per-day bests (a min
     of mins).  Keys whose patients have no address keep null geography."""
     days = keys.select("patientid", "treatmentstartdate").distinct()
-    per_day = best_address_per_day(days, geo)
+    per_day = best_address_per_day(days, geo, first_day, last_day)
     best = (keys.join(per_day, ["patientid", "treatmentstartdate"], "left")
             .groupBy(*key_cols).agg(F.min("best").alias("best")))
     return best.select(*key_cols,

@@ -30,7 +30,8 @@ MONTH_COUNT_KEY = ["RADIOTHERAPYEPISODEID", "CANCERTYPE", "ORGCODEPROVIDER", "CA
 def addressed_keys(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
     """One row per episode key with its best address (rank-1 rows)."""
     keys = episode_keys(inp, params)
-    return best_address(keys, EPISODE_KEY + ["calendar_month"], address_geography(inp))
+    return best_address(keys, EPISODE_KEY + ["calendar_month"], address_geography(inp),
+                        params.period_start, params.period_end)
 
 
 def labelled_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:

@@ -55,5 +55,5 @@ def test_best_address_per_day_matches_brute_force(spark):
                                        "icb_hb string, imd19_quintile_lsoas string")
     d = spark.createDataFrame(days, "patientid long, treatmentstartdate date")
     got = {(r.patientid, r.treatmentstartdate): ((r.best.icb, r.best.imd, r.best.id) if r.best else (None, None, None))
-           for r in AD.best_address_per_day(d, geo).collect()}
+           for r in AD.best_address_per_day(d, geo, '2017-10-01', '2022-04-01').collect()}
     assert got == _brute(days, addrs)
