@@ -100,9 +100,7 @@ def chunk_calendar_query(spark, sf_dir):
     cal = spark.createDataFrame(
         [(c.chunk_id, c.start.isoformat(), c.end.isoformat()) for c in DEFAULT.chunks],
         "chunk_id int, chunk_start string, chunk_end string")
-    rows = EPI.core_rows(inp).groupBy("chunk_id").agg(
-        _n(), F.countDistinct(EPI.EP).alias("n_episodes"))
-    return cal.join(rows, "chunk_id", "left")
+    return cal.join(EPI.chunk_counts(inp), "chunk_id", "left")
 
 
 @query("qa_chunk_counts")
@@ -355,11 +353,17 @@ _ext_group("filter_impossible_pairs",
 
 @query("join_prescriptions")
 def join_prescriptions(spark, sf_dir):
+    """Each episode row with its prescriptions (inner join on the four
+    attendance keys): how many, and the largest dose and fractions.  The
+    prescriptions are aggregated per key before the join, so the join never
+    multiplies rows."""
     inp = load_inputs(spark, sf_dir)
-    p = inp.at_prescriptions.select(*EPI.RX_KEYS, "rtprescribeddose", "prescribedfractions")
+    p = inp.at_prescriptions.groupBy(*EPI.ATTEND_KEYS).agg(
+        F.count(F.lit(1)).alias("n_prescriptions"),
+        F.max("rtprescribeddose").cast("double").alias("max_dose"),
+        F.max("prescribedfractions").alias("max_fractions"))
     rows = inp.at_episodes.join(p, EPI.ATTEND_KEYS, "inner")
-    return rows.select("attendid", EPI.EP, "prescriptionid", _dbl("rtprescribeddose").alias("rtprescribeddose"),
-                       "prescribedfractions")
+    return rows.select("attendid", EPI.EP, "n_prescriptions", "max_dose", "max_fractions")
 
 
 @query("semi_join_exposures")

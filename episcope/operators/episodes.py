@@ -101,27 +101,53 @@ def admitted(rows: DataFrame, exposures: DataFrame) -> DataFrame:
     return rows.join(x, cond & qualifies, "left_semi")
 
 
+def admitted_prescriptions(inp: Inputs, episodes: DataFrame) -> DataFrame:
+    """Prescriptions of the given episode rows that qualify (modality or an
+    admitted machine), both as semi joins: no row is multiplied."""
+    p = inp.at_prescriptions.select(*RX_KEYS, "rtprescribeddose", "prescribedfractions",
+                                    "rttreatmentmodality", "rttreatmentregion")
+    p = p.join(episodes.select(*ATTEND_KEYS), ATTEND_KEYS, "left_semi")
+    return admitted(p, inp.at_exposures)
+
+
 def core_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
-    """One row per qualifying (attendance, prescription): the joined and
-    filtered core of the extract with its row-level derived columns."""
+    """Qualifying episode rows joined with their qualifying prescriptions,
+    with the row-level derived columns.
+
+    Later steps use a prescription only through its treatment region (for
+    the tumour group) and the maxima of dose and fractions, so prescriptions
+    are first collapsed map-side to one row per (attendance, region): the
+    join then multiplies an episode row by its number of regions at most,
+    never by its number of prescriptions."""
     chunks = list(params.chunks)
     e = qualifying_episodes(inp, params)
-    p = inp.at_prescriptions.select(*RX_KEYS, "rtprescribeddose", "prescribedfractions",
-                                    "rttreatmentmodality", "rttreatmentregion")
-    rows = admitted(e.join(p, ATTEND_KEYS, "inner"), inp.at_exposures)
+    p = (admitted_prescriptions(inp, e)
+         .groupBy(*ATTEND_KEYS, "rttreatmentregion")
+         .agg(F.max("rtprescribeddose").alias("dose"), F.max("prescribedfractions").alias("fractions")))
+    rows = e.join(p, ATTEND_KEYS, "inner")
     date = F.col("treatmentstartdate")
     return rows.select(
-        EP, PROV, "patientid", "attendid", "prescriptionid", "treatmentstartdate",
+        EP, PROV, "patientid", "attendid", "treatmentstartdate",
         C.provider_remap(F.col(PROV)).alias(MAPPED),
         C.month_label(date).alias("calendar_month"),
         chunk_id(date, chunks).alias("chunk_id"),
         C.tumour_group(F.col("radiotherapydiagnosisicd"), F.col("rttreatmentregion")).alias("cancertype"),
         C.intent_rank(F.col("radiotherapyintent")).alias("ordered_intent"),
-        F.col("rtprescribeddose").alias("dose"),
-        F.col("prescribedfractions").alias("fractions"),
+        "dose", "fractions",
     )
 
 
+def chunk_counts(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
+    """Per chunk: qualifying (episode row, prescription) rows and distinct
+    episodes.  The row count is a sum of per-attendance products of counts,
+    so no pair is formed."""
+    e = qualifying_episodes(inp, params).withColumn(
+        "chunk_id", chunk_id(F.col("treatmentstartdate"), list(params.chunks)))
+    per_key = admitted_prescriptions(inp, e).groupBy(*ATTEND_KEYS).agg(F.count(F.lit(1)).alias("n_rx"))
+    return (e.join(per_key, ATTEND_KEYS, "inner").groupBy("chunk_id")
+            .agg(F.sum("n_rx").alias("n_rows"), F.countDistinct(EP).alias("n_episodes")))
+
+
 def with_patient(rows: DataFrame, patients: DataFrame) -> DataFrame:
     pa = patients.select("patientid", "birthdatebest", "sex", "ethnicity", "ethnicityname")
     return rows.join(pa, "patientid", "left")

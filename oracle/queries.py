@@ -174,10 +174,12 @@ WHERE GENDER <> 'Other' AND NOT (GENDER = 'Female' AND CANCERTYPE = 'PROSTATE')
  AND NOT (GENDER = 'Male' AND CANCERTYPE = 'CERVIX')
 GROUP BY ALL""",
     "join_prescriptions": """
-SELECT e.attendid, e.radiotherapyepisodeid, p.prescriptionid, CAST(p.rtprescribeddose AS DOUBLE) AS rtprescribeddose,
- p.prescribedfractions
+SELECT e.attendid, e.radiotherapyepisodeid, count(*) AS n_prescriptions,
+ CAST(max(p.rtprescribeddose) AS DOUBLE) AS max_dose, max(p.prescribedfractions) AS max_fractions
 FROM at_episodes e JOIN at_prescriptions p ON e.attendid = p.attendid AND e.orgcodeprovider = p.orgcodeprovider
- AND e.radiotherapyepisodeid = p.radiotherapyepisodeid AND e.patientid = p.patientid""",
+ AND e.radiotherapyepisodeid = p.radiotherapyepisodeid AND e.patientid = p.patientid
+GROUP BY e.attendid, e.radiotherapyepisodeid, e.orgcodeprovider, e.patientid, e.treatmentstartdate,
+ e.radiotherapyintent, e.radiotherapydiagnosisicd""",
     "semi_join_exposures": """
 SELECT p.attendid, p.orgcodeprovider, p.radiotherapyepisodeid, p.patientid, p.prescriptionid
 FROM at_prescriptions p WHERE EXISTS (
