@@ -55,11 +55,19 @@ def _group_row(spec_id: int, period: str, geo: Geo, spec: Spec) -> Column:
 
 
 def _parallelism(df: DataFrame) -> int:
+    """Tasks for the explode: the shuffle partition count, but no more than
+    two per core (a fixed count is not coalesced by AQE, and on a cluster two
+    waves over all cores already give tasks of bounded size)."""
     spark = df.sparkSession
     try:
-        return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     except (TypeError, ValueError):
-        return spark.sparkContext.defaultParallelism
+        n = 200
+    try:
+        n = min(n, 2 * spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 -- sessions without a SparkContext
+        pass
+    return n
 
 
 def spec_rows(cleaned: DataFrame, specs=None) -> DataFrame:
