@@ -5,7 +5,7 @@ from __future__ import annotations
 from episcope.functions import fixed_values as fv
 from episcope.plans.calendar import chunk_calendar
 
-from .stages import STAGES, _chunk_case, _decode_provider, _in, _q, _recode_case, _schedule_case, \
+from .stages import STAGES, _chunk_case, _decode_provider, _in, _recode_case, _schedule_case, \
     _schedule_group_case, _tumour_case, _AGE_BAND, _FRACTIONATION, with_ctes
 
 P0, P1 = fv.PERIOD_START, fv.PERIOD_END
