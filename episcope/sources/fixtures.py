@@ -10,6 +10,10 @@ plain view names, so both engines read the very same definitions.
 
 Every view scales with the driver's tables; none holds made-up rows except
 the seven-row provider network look-up, which is reference data by nature.
+The modulo conditions in the templates decide *what* a row is (which
+customers have a patient record, which LSOAs have an ICB or a deprivation
+quintile, which lines have an exposure), so that the inputs contain the
+gaps the specification must handle; they never subset rows for speed.
 """
 
 from __future__ import annotations
