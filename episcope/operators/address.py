@@ -87,7 +87,7 @@ def _levels(n: int):
     return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("lvl")
 
 
-def neighbour_address_days(days: DataFrame, on_day: DataFrame, span: int) -> DataFrame:
+def neighbour_address_days(days: DataFrame, address_days: DataFrame, span: int) -> DataFrame:
     """For each (patient, treatment day ``t``, 0 <= t <= span): the latest
     address day <= t (``prev``) and the soonest address day > t (``next``).
 
@@ -98,7 +98,7 @@ def neighbour_address_days(days: DataFrame, on_day: DataFrame, span: int) -> Dat
     ``t+1``, (t, 2**L) the union of the blocks ``(t >> l) + 1`` for the
     clear bits ``l`` of ``t`` -- at most L blocks each, L = bits of span+1."""
     levels = max(int(span + 1).bit_length(), 1)
-    dated = on_day.filter(F.col("x").isNotNull())
+    dated = address_days.filter(F.col("x").isNotNull())
     outside = dated.groupBy("patientid").agg(
         F.max(F.when(F.col("x") < 0, F.col("x"))).alias("prev_out"),
         F.min(F.when(F.col("x") > span, F.col("x"))).alias("next_out"))
@@ -123,25 +123,31 @@ def neighbour_address_days(days: DataFrame, on_day: DataFrame, span: int) -> Dat
                     F.coalesce("next_in", "next_out").alias("next")))
 
 
-def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_day: str) -> DataFrame:
+def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_day: str,
+                         address_dates: DataFrame | None = None) -> DataFrame:
     """(patient, treatment date) -> the preferred address as a ranked struct
     (null when the patient has no address).  Treatment dates must lie in
-    [first_day, last_day] (the extraction period)."""
+    [first_day, last_day] (the extraction period).
+
+    ``address_dates`` (patientid, dateofaddress) may be the address table
+    itself: the look-ups joined into ``geo`` never change which address
+    dates a patient has, so the as-of step need not read them."""
     zero = first_day
     span = (dt.date.fromisoformat(last_day) - dt.date.fromisoformat(first_day)).days
+    dates = geo if address_dates is None else address_dates
+    address_days = dates.select("patientid", _day_number(F.col("dateofaddress"), zero).alias("x"))
     on_day = geo.groupBy("patientid", _day_number(F.col("dateofaddress"), zero).alias("x")).agg(
         F.min(_tie_break()).alias("b"))
-    d = days.select("patientid", "treatmentstartdate",
-                    _day_number(F.col("treatmentstartdate"), zero).alias("t"))
-    nb = neighbour_address_days(d.select("patientid", "t").distinct(), on_day, span)
+    d = days.select("patientid", _day_number(F.col("treatmentstartdate"), zero).alias("t")).distinct()
+    nb = neighbour_address_days(d, address_days, span)
     # Three look-ups per day: the address day before, the one after, undated.
-    looks = d.join(nb, ["patientid", "t"], "left").select(
-        "patientid", "treatmentstartdate", "t",
+    looks = nb.select(
+        "patientid", "t",
         F.explode(F.array(
             F.struct(F.lit(0).alias("kind"), F.col("prev").alias("x")),
             F.struct(F.lit(1).alias("kind"), F.col("next").alias("x")),
             F.struct(F.lit(2).alias("kind"), F.lit(None).cast("int").alias("x")))).alias("look"))
-    looks = looks.select("patientid", "treatmentstartdate", "t", "look.kind", "look.x").filter(
+    looks = looks.select("patientid", "t", "look.kind", "look.x").filter(
         (F.col("kind") == 2) | F.col("x").isNotNull())
     cand = looks.join(on_day.withColumnRenamed("x", "ax").withColumnRenamed("patientid", "ap"),
                       (F.col("patientid") == F.col("ap")) & F.col("x").eqNullSafe(F.col("ax")), "left")
@@ -152,17 +158,20 @@ def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_d
     ranked = F.when(F.col("b").isNotNull(), F.struct(
         rank.alias("r"), *[F.col(f"b.{f}").alias(f) for f in
                            ("id_null", "id", "icb_null", "icb", "imd_null", "imd")]))
-    return cand.groupBy("patientid", "treatmentstartdate").agg(F.min(ranked).alias("best"))
+    return (cand.groupBy("patientid", "t").agg(F.min(ranked).alias("best"))
+            .select("patientid", F.date_add(F.lit(zero).cast("date"), F.col("t")).alias("treatmentstartdate"),
+                    "best"))
 
 
 def best_address(keys: DataFrame, key_cols: list[str], geo: DataFrame,
-                 first_day: str = PERIOD_START, last_day: str = PERIOD_END) -> DataFrame:
+                 first_day: str = PERIOD_START, last_day: str = PERIOD_END,
+                 address_dates: DataFrame | None = None) -> DataFrame:
     """For each key (carrying ``patientid`` and ``treatmentstartdate``) the
     home area and deprivation of its best address.  The date is part of every
     key, so the key's best is the best of its patients' per-day bests (a min
     of mins).  Keys whose patients have no address keep null geography."""
     days = keys.select("patientid", "treatmentstartdate").distinct()
-    per_day = best_address_per_day(days, geo, first_day, last_day)
+    per_day = best_address_per_day(days, geo, first_day, last_day, address_dates)
     best = (keys.join(per_day, ["patientid", "treatmentstartdate"], "left")
             .groupBy(*key_cols).agg(F.min("best").alias("best")))
     return best.select(*key_cols,

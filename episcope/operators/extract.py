@@ -31,7 +31,8 @@ def addressed_keys(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
     """One row per episode key with its best address (rank-1 rows)."""
     keys = episode_keys(inp, params)
     return best_address(keys, EPISODE_KEY + ["calendar_month"], address_geography(inp),
-                        params.period_start, params.period_end)
+                        params.period_start, params.period_end,
+                        inp.address.select("patientid", "dateofaddress"))
 
 
 def labelled_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
