@@ -122,3 +122,52 @@ def test_provider_remap_and_age(spark):
     out = ages.select(a.alias("age"), C.age_band(a).alias("band")).collect()
     assert [r.age for r in out] == [40, 39, 89, None]
     assert [r.band for r in out] == ["40 - 49", "< 40", "80 - 89", "unknown"]
+
+
+def _expected_category(rank, dose, fx):
+    from decimal import ROUND_HALF_UP
+    if rank != 2 or dose is None or not fx:
+        return fv.FRACTIONATION_OTHER
+    r = (dose / Decimal(fx)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    if r < 2:
+        return "less than 2Gy per fraction"
+    if Decimal("2") <= r <= Decimal("2.49"):
+        return "standard fractionation"
+    if Decimal("2.5") <= r <= Decimal("4.99"):
+        return "mild-moderate hypofractionation"
+    if r >= 5:
+        return "ultra hypofractionation"
+    return fv.FRACTIONATION_OTHER
+
+
+def test_fractionation_category_random(spark):
+    import random
+    rng = random.Random(11)
+    rows = []
+    for _ in range(3000):
+        dose = Decimal(rng.randint(0, 120000)) / 1000
+        fx = rng.choice([None, 0] + list(range(1, 41)))
+        rows.append(("X", rng.choice([1, 2, 2, 2, 3, 4]), dose, fx))
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = df.select("*", C.fractionation_category("min_intent", "max_dose", "max_fractions").alias("c")).collect()
+    for r in out:
+        assert r.c == _expected_category(r.min_intent, r.max_dose, r.max_fractions), r
+
+
+def test_schedule_label_and_group_random(spark):
+    import random
+    rng = random.Random(5)
+    tumours = [g for g, _ in fv.TUMOUR_GROUPS] + [fv.OTHER_TUMOUR]
+    rows = []
+    for _ in range(4000):
+        dose = None if rng.random() < 0.03 else Decimal(rng.randint(0, 90000)) / 1000
+        fx = rng.choice([None, 0] + list(range(1, 45)))
+        rows.append((rng.choice(tumours), rng.choice([1, 2, 2, 3, 4]), dose, fx))
+    df = spark.createDataFrame(rows, SCHEMA)
+    t, r, d, f = "cancertype", "min_intent", "max_dose", "max_fractions"
+    out = df.select("*", C.schedule_label(t, r, d, f).alias("label"),
+                    C.schedule_group(t, r, d, f).alias("grp")).collect()
+    for row in out:
+        args = (row.cancertype, row.min_intent, row.max_dose, row.max_fractions)
+        assert row.label == _expected_label(*args), args
+        assert row.grp == _expected_group(*args), args
