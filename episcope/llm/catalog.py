@@ -5,6 +5,7 @@ from __future__ import annotations
 from .byte_bpe import op7_byte_bpe
 from .minhash import op2_minhash_near_dedup
 from .packing import op9_packing
+from .quality_rules import op8_quality_rules
 from .sharding import op10_sharding
 from .substring_dedup import op5_substring_dedup
 from .suffix_dedup import op3_suffix_dedup
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
