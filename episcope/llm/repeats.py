@@ -9,15 +9,18 @@ positions p, q some shift s < period puts both p+s and q+s on the cover.  Two
 equal windows therefore share an equal *anchor*: a run of
 ``length - period + 1`` units at a cover position of either document.
 
-**Plan** (one lazy Spark plan, four shuffles, no driver work):
+**Plan** (one lazy Spark plan, no driver work):
 
 1. Documents are packed into blocks (compressed Arrow record batches of about
-   ``block_bytes`` of text), dealt out by block number.
+   ``block_bytes`` of text), dealt out by block number.  Texts equal to an
+   earlier document's are found by digests; they are repeats as a whole and
+   leave the search.
 2. Every block names its cover anchors (hashes) and sends the distinct names,
    4 bytes each, to name buckets.  A bucket sorts its names and returns one
    bit per name: does it occur elsewhere?
-3. Only windows that hold a repeated anchor can be repeats.  Each block hashes
-   those windows (64 bits, in buckets dealt by a second, independent hash),
+3. Only windows that hold a repeated anchor can be repeats.  (With ``refine``,
+   the same is then asked of longer runs around the repeated anchors, so that
+   short common lines are not candidates.)  Each block hashes those windows (64 bits, in buckets dealt by a second, independent hash),
    keeps its first of each, and sends them with their document ids.  A bucket
    finds the first of all and returns one bit for each that is not.
 4. Each block joins the bits back and cuts its texts.
@@ -47,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import shuffle_partitions
-from .hashing import BYTE_UNITS, MULTIPLIERS, Runs, column_bytes, word_hashes, word_spans
+from .hashing import BYTE_UNITS, MULTIPLIERS, Runs, column_bytes, mix, word_hashes, word_spans
 
 BLOCK_BYTES = 2 << 20
 _LAST = np.iinfo(np.int64).max
@@ -55,12 +58,17 @@ _LAST = np.iinfo(np.int64).max
 
 @dataclass(frozen=True)
 class Cover:
-    """``unit`` is ``bytes`` or ``words``; ``residues`` cover all differences modulo ``period``."""
+    """``unit`` is ``bytes`` or ``words``; ``residues`` cover all differences modulo ``period``.
+
+    ``refine`` > 0 adds a step that compares longer runs around the anchors
+    that occur again, ``refine - 1`` units shorter than the window.
+    """
 
     unit: str
     length: int
     period: int
     residues: tuple[int, ...]
+    refine: int = 0
 
     def __post_init__(self):
         seen = {(a - b) % self.period for a in self.residues for b in self.residues}
@@ -115,8 +123,8 @@ def blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataF
 class _Block:
     """One unpacked block: its units, its anchors and, given the marks, its candidate windows."""
 
-    def __init__(self, payload: bytes, text_col: str, cover: Cover):
-        self.cover, self.table = cover, _unpack(payload)
+    def __init__(self, payload: bytes, text_col: str, cover: Cover, right: pa.Table | None = None, buckets: int = 1):
+        self.cover, self.table, self.buckets = cover, _unpack(payload), buckets
         self.raw, self.offsets = column_bytes(self.table[text_col])
         if cover.unit == "bytes":
             self.at, units = self.offsets, BYTE_UNITS[self.raw]
@@ -124,6 +132,8 @@ class _Block:
             self.starts, self.ends, self.at = word_spans(self.raw, self.offsets)
             units = word_hashes(self.raw, self.starts, self.ends)
         self.units, self.n = units, len(units)
+        self.bits = {kind: _bits(right, kind) for kind in (COPIES, MARKS, LONGER, LATER)} if right is not None else {}
+        self.copies = self._copies() if right is not None else np.zeros(len(self.at) - 1, dtype=bool)
         self.runs = Runs(units)
         self.anchors = self._anchors()
         self.names, self.inverse, self.counts = np.unique(
@@ -135,35 +145,94 @@ class _Block:
         on[list(cover.residues)] = True
         every = np.flatnonzero(np.resize(on, max(longest, 1)))
         room = np.diff(self.at) - cover.anchor + 1
-        upto = np.searchsorted(every, room)
+        upto = np.where(self.copies, 0, np.searchsorted(every, room))
         parts = [every[:k] + a for k, a in zip(upto, self.at[:-1]) if k > 0]
         return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
 
-    def candidates(self, marks: dict[int, bytes], buckets: int) -> np.ndarray:
-        """Starts of the windows that hold an anchor which occurs elsewhere."""
-        again = self.counts > 1
-        edges = _edges(self.names, buckets)
-        for bucket, bits in marks.items():
+    def digests(self):
+        """Of the texts that hold a window: names, bucket edges, and the first texts of each name in bucket order."""
+        docs = np.flatnonzero(np.diff(self.at) >= self.cover.length)
+        size = np.diff(self.offsets)[docs].astype(np.uint64) * np.uint64(0x8BB84B93962EACC9)
+        names = [mix(Runs(BYTE_UNITS[self.raw], m).at(self.offsets[docs], self.offsets[docs + 1]) + size) for m in MULTIPLIERS]
+        return docs, *_firsts(names[0], names[1], self.buckets)
+
+    def _copies(self) -> np.ndarray:
+        docs, _, edges, first = self.digests()
+        out = np.zeros(len(self.at) - 1, dtype=bool)
+        out[docs] = _not_first(len(docs), edges, first, self.bits[COPIES])
+        return out
+
+    def _again(self, names: np.ndarray, counts: np.ndarray, kind: int) -> np.ndarray:
+        """Which of the distinct names occur again, here or (by the answered bits) elsewhere."""
+        again, edges = counts > 1, _edges(names, self.buckets)
+        for bucket, bits in self.bits[kind].items():
             a, b = edges[bucket], edges[bucket + 1]
             again[a:b] |= np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=b - a).astype(bool)
-        hit = self.anchors[again[self.inverse]]
+        return again
+
+    def longer(self):
+        """The runs around the anchors that occur again, by how far ahead of the anchor a window starts.
+
+        Every window that starts ``near`` to ``far`` units ahead of an anchor
+        holds the run from ``near`` ahead of it on, ``far - near`` units
+        shorter than the window.  Returns (runs' starts, near, far, names of
+        the runs, ...as of np.unique).
+        """
+        hit = self.anchors[self._again(self.names, self.counts, MARKS)[self.inverse]]
         doc = np.searchsorted(self.at, hit, side="right") - 1
-        low = np.maximum(hit - self.cover.period + 1, self.at[doc])
-        high = np.minimum(hit, self.at[doc + 1] - self.cover.length)
+        step = self.cover.refine or self.cover.period
+        starts, nears, fars, names = [], [], [], []
+        for near in range(0, self.cover.period, step):
+            far = min(near + step, self.cover.period) - 1
+            size = self.cover.length - (far - near)
+            start = hit - near
+            fits = (start >= self.at[doc]) & (start + size <= self.at[doc + 1])
+            starts.append(start[fits])
+            nears.append(np.full(len(starts[-1]), near))
+            fars.append(np.full(len(starts[-1]), far))
+            names.append(mix(self.runs.at(starts[-1], starts[-1] + size) + np.uint64(near + 1)))
+        starts, nears, fars, names = (np.concatenate(x) for x in (starts, nears, fars, names))
+        return starts, nears, fars, *np.unique(names, return_inverse=True, return_counts=True)
+
+    def candidates(self) -> np.ndarray:
+        """Starts of the windows that hold an anchor, and a longer run around it, which occur elsewhere."""
+        starts, nears, fars, names, inverse, counts = self.longer()
+        if self.cover.refine:
+            again = self._again(names, counts, LONGER)[inverse]
+            starts, nears, fars = starts[again], nears[again], fars[again]
+        doc = np.searchsorted(self.at, starts, side="right") - 1
+        low = np.maximum(starts + nears - fars, self.at[doc])
+        high = np.minimum(starts, self.at[doc + 1] - self.cover.length)
         return np.flatnonzero(_covered(low[low <= high], high[low <= high] + 1, self.n))
 
-    def firsts(self, starts: np.ndarray, buckets: int):
-        """Of the windows at ``starts``: names, bucket edges, own firsts in bucket order, and which are own firsts."""
-        names, first = np.unique(self.runs.windows(starts, self.cover.length), return_index=True)
-        second = Runs(self.units, MULTIPLIERS[1]).windows(starts[first], self.cover.length)
-        bucket = _bucket(second, buckets)
-        order = np.lexsort((first, bucket))
-        return names[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), first[order]
+    def windows(self, starts: np.ndarray):
+        """Of the windows at ``starts``: names, bucket edges, and the first of each name in bucket order."""
+        second = Runs(self.units, MULTIPLIERS[1])
+        return _firsts(self.runs.windows(starts, self.cover.length), second.windows(starts, self.cover.length), self.buckets)
 
     def ids(self, id_col: str) -> np.ndarray:
         return self.table[id_col].cast(pa.int64()).fill_null(_LAST).to_numpy()
 
 
+def _firsts(names: np.ndarray, second: np.ndarray, buckets: int):
+    """The distinct names in order of bucket (dealt by the second names) and place: (names, edges, places)."""
+    names, first = np.unique(names, return_index=True)
+    bucket = _bucket(second[first], buckets)
+    order = np.lexsort((first, bucket))
+    return names[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), first[order]
+
+
+def _not_first(n: int, edges: np.ndarray, first: np.ndarray, bits: dict[int, bytes]) -> np.ndarray:
+    """Which of n entries aren't the first of their name, here or (by the answered bits) elsewhere."""
+    own = np.zeros(len(first), dtype=bool)
+    for bucket, x in bits.items():
+        a, z = edges[bucket], edges[bucket + 1]
+        own[a:z] = np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=z - a).astype(bool)
+    out = np.ones(n, dtype=bool)
+    out[first] = own
+    return out
+
+
 def _bucket(names: np.ndarray, buckets: int) -> np.ndarray:
     return (((names >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
@@ -183,7 +252,10 @@ def _bits(right: pa.Table, kind: int) -> dict[int, bytes]:
 
 # ---------------------------------------------------------------- the plan
 
+COPIES, MARKS, LONGER, LATER = range(4)
 _BITS = "block long, kind int, bucket int, bits binary"
+_SENT = "bucket int, block long, names binary, docs binary, runs binary"
+_NAMED = {"bucket": pa.int32(), "block": pa.int64(), "names": pa.binary(), "docs": pa.binary(), "runs": pa.binary()}
 
 
 def _answers(table: pa.Table, flags: np.ndarray, ends: np.ndarray, kind: int) -> pa.Table:
@@ -195,8 +267,8 @@ def _answers(table: pa.Table, flags: np.ndarray, ends: np.ndarray, kind: int) ->
                      "bucket": pa.array(cols[2], pa.int32()), "bits": pa.array(cols[3], pa.binary())})
 
 
-def _repeated_names(table: pa.Table) -> pa.Table:
-    """Sorts one bucket's anchor names; a bit for each name that another sender also has."""
+def _repeated(table: pa.Table, kind: int) -> pa.Table:
+    """Sorts one bucket's names; a bit for each name that another sender also has."""
     raw = [np.frombuffer(x, dtype="<u4") for x in table["names"].to_pylist()]
     ends, names = np.cumsum([len(x) for x in raw]), np.concatenate(raw)
     line = np.sort(names)
@@ -205,11 +277,11 @@ def _repeated_names(table: pa.Table) -> pa.Table:
     flags = np.zeros(len(names), dtype=bool)
     if len(twice):
         flags = twice[np.minimum(at, len(twice) - 1)] == names
-    return _answers(table, flags, ends, 0)
+    return _answers(table, flags, ends, kind)
 
 
-def _later_windows(table: pa.Table) -> pa.Table:
-    """Sorts one bucket's windows; a bit for each that isn't the first of its name by (id, block)."""
+def _later(table: pa.Table, kind: int) -> pa.Table:
+    """Sorts one bucket's names; a bit for each that isn't the first of its name by (id, block)."""
     raw = [np.frombuffer(x, dtype="<u8") for x in table["names"].to_pylist()]
     size = np.array([len(x) for x in raw])
     names = np.concatenate(raw)
@@ -224,7 +296,7 @@ def _later_windows(table: pa.Table) -> pa.Table:
     key = np.where(first_doc, block[order], _LAST)
     flags = np.zeros(len(names), dtype=bool)
     flags[order] = key != np.minimum.reduceat(key, heads)[group]
-    return _answers(table, flags, np.cumsum(size), 1)
+    return _answers(table, flags, np.cumsum(size), kind)
 
 
 def remove_repeats(df: DataFrame, cover: Cover, id_col: str = "doc_id", text_col: str = "text",
@@ -241,65 +313,79 @@ def remove_repeats(df: DataFrame, cover: Cover, id_col: str = "doc_id", text_col
     source = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in results])
     dealt = blocks(source, id_col, text_col, block_bytes).repartition(parts, "block")
 
-    def send_names(batches):
+    def rows_of(b: _Block, blk: int, names, edges, docs, out: dict) -> None:
+        """Appends one row per bucket: the names and, run-length coded, the ids of their documents."""
+        ids = b.ids(id_col)
+        for k in np.flatnonzero(np.diff(edges)):
+            x = docs[edges[k]:edges[k + 1]]
+            head = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+            values = (int(k), blk, names[edges[k]:edges[k + 1]].astype("<u8").tobytes(), ids[x[head]].astype("<i8").tobytes(),
+                      np.diff([*head, len(x)]).astype("<u4").tobytes())
+            for c, v in zip(_NAMED, values):
+                out[c].append(v)
+
+    def send_digests(batches):
         for batch in batches:
+            out: dict[str, list] = {c: [] for c in _NAMED}
             for blk, payload in zip(batch["block"].to_pylist(), batch["payload"]):
-                b = _Block(payload.as_buffer(), text_col, cover)
-                edges = _edges(b.names, buckets)
-                low = (b.names & np.uint64(0xFFFFFFFF)).astype("<u4")
+                b = _Block(payload.as_buffer(), text_col, cover, buckets=buckets)
+                docs, names, edges, first = b.digests()
+                rows_of(b, blk, names, edges, docs[first], out)
+            yield pa.RecordBatch.from_pydict({c: pa.array(out[c], t) for c, t in _NAMED.items()})
+
+    def send_names(kind: int):
+        def send(left: pa.Table, right: pa.Table) -> pa.Table:
+            out: dict[str, list] = {"bucket": [], "block": [], "names": []}
+            for blk, payload in zip(left["block"].to_pylist(), left["payload"].combine_chunks()):
+                b = _Block(payload.as_buffer(), text_col, cover, right, buckets)
+                names = b.names if kind == MARKS else b.longer()[3]
+                edges = _edges(names, buckets)
+                low = (names & np.uint64(0xFFFFFFFF)).astype("<u4")
                 some = np.flatnonzero(np.diff(edges))
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(some, pa.int32()), "block": pa.array([blk] * len(some), pa.int64()),
-                    "names": pa.array([low[edges[k]:edges[k + 1]].tobytes() for k in some], pa.binary())})
+                out["bucket"] += some.tolist()
+                out["block"] += [blk] * len(some)
+                out["names"] += [low[edges[k]:edges[k + 1]].tobytes() for k in some]
+            return pa.table({c: pa.array(out[c], _NAMED[c]) for c in out})
 
-    marks = (dealt.mapInArrow(send_names, "bucket int, block long, names binary")
-             .groupBy("bucket").applyInArrow(_repeated_names, _BITS).repartition(parts, "block"))
+        return send
 
     def send_windows(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"bucket": [], "block": [], "names": [], "docs": [], "runs": []}
+        out: dict[str, list] = {c: [] for c in _NAMED}
         for blk, payload in zip(left["block"].to_pylist(), left["payload"].combine_chunks()):
-            b = _Block(payload.as_buffer(), text_col, cover)
-            starts = b.candidates(_bits(right, 0), buckets)
-            names, edges, first = b.firsts(starts, buckets)
-            doc = np.searchsorted(b.at, starts[first], side="right") - 1
-            ids = b.ids(id_col)
-            for k in np.flatnonzero(np.diff(edges)):
-                x = doc[edges[k]:edges[k + 1]]
-                head = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-                out["bucket"].append(int(k))
-                out["block"].append(blk)
-                out["names"].append(names[edges[k]:edges[k + 1]].astype("<u8").tobytes())
-                out["docs"].append(ids[x[head]].astype("<i8").tobytes())
-                out["runs"].append(np.diff([*head, len(x)]).astype("<u4").tobytes())
-        kinds = {"bucket": pa.int32(), "block": pa.int64(), "names": pa.binary(), "docs": pa.binary(), "runs": pa.binary()}
-        return pa.table({c: pa.array(out[c], t) for c, t in kinds.items()})
-
-    later = (dealt.groupBy("block").cogroup(marks.groupBy("block"))
-             .applyInArrow(send_windows, "bucket int, block long, names binary, docs binary, runs binary")
-             .groupBy("bucket").applyInArrow(_later_windows, _BITS))
+            b = _Block(payload.as_buffer(), text_col, cover, right, buckets)
+            starts = b.candidates()
+            names, edges, first = b.windows(starts)
+            rows_of(b, blk, names, edges, np.searchsorted(b.at, starts[first], side="right") - 1, out)
+        return pa.table({c: pa.array(out[c], t) for c, t in _NAMED.items()})
+
+    def answered(sent: DataFrame, answer: Callable, kind: int) -> DataFrame:
+        return sent.groupBy("bucket").applyInArrow(lambda table: answer(table, kind), _BITS).repartition(parts, "block")
+
+    by_block = dealt.groupBy("block")
+    copies = answered(dealt.mapInArrow(send_digests, _SENT), _later, COPIES)
+    marks = copies
+    for kind in (MARKS, LONGER) if cover.refine else (MARKS,):
+        sent = by_block.cogroup(marks.groupBy("block")).applyInArrow(send_names(kind), "bucket int, block long, names binary")
+        marks = marks.unionByName(answered(sent, _repeated, kind))
+    bits = marks.unionByName(answered(
+        by_block.cogroup(marks.groupBy("block")).applyInArrow(send_windows, _SENT), _later, LATER))
 
     fields = list(source.schema.fields) + [T.StructField(c, T.LongType()) for c in results[:3]]
     fields += [T.StructField("kept_sha256", T.StringType())] * digest + [T.StructField("kept", T.BinaryType())] * keep_text
 
     def cut_texts(left: pa.Table, right: pa.Table) -> pa.Table:
-        done = [_cut(_Block(p.as_buffer(), text_col, cover), right, buckets, digest, keep_text)
+        done = [_cut(_Block(p.as_buffer(), text_col, cover, right, buckets), digest, keep_text)
                 for p in left["payload"].combine_chunks()]
         return pa.concat_tables(done)
 
-    bits = marks.unionByName(later.repartition(parts, "block"))
-    return dealt.groupBy("block").cogroup(bits.groupBy("block")).applyInArrow(cut_texts, T.StructType(fields))
+    return by_block.cogroup(bits.groupBy("block")).applyInArrow(cut_texts, T.StructType(fields))
 
 
-def _cut(b: _Block, right: pa.Table, buckets: int, digest: bool, keep_text: bool) -> pa.Table:
-    starts = b.candidates(_bits(right, 0), buckets)
-    _, edges, first = b.firsts(starts, buckets)
-    repeat = np.ones(len(starts), dtype=bool)
-    own = np.zeros(len(first), dtype=bool)
-    for bucket, bits in _bits(right, 1).items():
-        a, z = edges[bucket], edges[bucket + 1]
-        own[a:z] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=z - a).astype(bool)
-    repeat[first] = own
-    gone = _covered(starts[repeat], starts[repeat] + b.cover.length, b.n)
+def _cut(b: _Block, digest: bool, keep_text: bool) -> pa.Table:
+    starts = b.candidates()
+    _, edges, first = b.windows(starts)
+    repeat = starts[_not_first(len(starts), edges, first, b.bits[LATER])]
+    gone = _covered(repeat, repeat + b.cover.length, b.n) | np.repeat(b.copies, np.diff(b.at))
     head = gone.copy()
     inner = np.ones(b.n + 1, dtype=bool)
     inner[b.at] = False

@@ -7,7 +7,8 @@ positions are named, the names sorted one bucket at a time, and only the names
 that occur again keep a rank.  Two suffixes that tie for 100 bytes have a
 common sample position within 73 bytes, and their sample runs there must be
 equal; so a suffix without a ranked sample run ahead of it can tie with no
-other and is left out of the sort.  The remaining suffixes are dealt into
+other and is left out of the sort.  Ranks of the 64-byte runs around the ranked
+sample positions sharpen this.  The remaining suffixes are dealt into
 buckets and sorted one bucket at a time; long ties (equal for 100 bytes) are
 resolved by name, not by comparing bytes, so a task holds one bucket's names
 and never the text of other documents.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .repeats import BLOCK_BYTES, Cover, remove_repeats
 
-BYTES_100 = Cover("bytes", 100, 73, (0, 1, 3, 7, 15, 31, 36, 54, 63))
+BYTES_100 = Cover("bytes", 100, 73, (0, 1, 3, 7, 15, 31, 36, 54, 63), refine=37)
 
 
 def suffix_dedup(docs: DataFrame, cover: Cover = BYTES_100, id_col: str = "doc_id", text_col: str = "text",
