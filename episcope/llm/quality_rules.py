@@ -158,6 +158,11 @@ def _value(feature: str) -> Column:
     return F.coalesce(x, F.lit(0.0))
 
 
+def _reached(value: Column, edges: list[float]) -> Column:
+    """How many of ``edges`` are at most ``value``."""
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= value)) if edges else F.lit(0)
+
+
 def learn(labelled: DataFrame, max_rules: int = 12, max_conditions: int = 3, precision: float = 0.95,
           least_rows: int = 5, quantiles: int = 40) -> list[Rule]:
     """The decision list for rows with the statistics and a label ``quality`` (1 good, 0 bad).
@@ -175,8 +180,7 @@ def learn(labelled: DataFrame, max_rules: int = 12, max_conditions: int = 3, pre
     if not any(edges.values()):
         return []
     # Bin k holds the values from edge k-1 up to edge k (edge k itself in bin k + 1).
-    bins = [F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges[f]]), lambda e, x=_value(f): e <= x)).alias(f)
-            if edges[f] else F.lit(0).alias(f) for f in FEATURES]
+    bins = [_reached(_value(f), edges[f]).alias(f) for f in FEATURES]
     fold = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(3))
     binned = materialize(rows.select(*bins, (F.col("quality") == 0).alias("bad"), (fold == 0).alias("prune")), "binned")
 
