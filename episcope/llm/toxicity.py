@@ -40,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import read_table
 
@@ -330,11 +331,11 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- scoring
 
-def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``score``, 0 to 1."""
-    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "score"])
+def score(docs: DataFrame, model: Model | None, text_col: str = "text", out_col: str = "score") -> DataFrame:
+    """The rows of ``docs`` with their score, 0 to 1, as ``out_col`` (in place of an input column of that name)."""
+    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != out_col.lower()])
     if model is None:
-        return source.withColumn("score", F.lit(0.0))
+        return source.withColumn(out_col, F.lit(0.0))
 
     def one(batches):
         table = Similarities(model.landmarks)
@@ -348,11 +349,9 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                     out.append(model.score(values @ model.weights + model.bias, at, np.diff(at)))
                     start, size = k + 1, 0
             scores = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, out_col])
 
-    from pyspark.sql import types as T
-
-    return source.mapInArrow(one, T.StructType([*source.schema.fields, T.StructField("score", T.DoubleType())]))
+    return source.mapInArrow(one, T.StructType([*source.schema.fields, T.StructField(out_col, T.DoubleType())]))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
