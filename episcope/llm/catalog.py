@@ -5,14 +5,18 @@ from __future__ import annotations
 from .byte_bpe import op7_byte_bpe
 from .minhash import op2_minhash_near_dedup
 from .packing import op9_packing
+from .page_text import op4_page_text
 from .quality_rules import op8_quality_rules
 from .sharding import op10_sharding
 from .substring_dedup import op5_substring_dedup
 from .suffix_dedup import op3_suffix_dedup
+from .toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_page_text": op4_page_text,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
