@@ -1,8 +1,78 @@
-"""The corpus pipeline (stages are added as their operators are built)."""
+"""The corpus pipeline: from raw documents to packed training sequences.
 
-STAGES: list = []
+Five stages, each calling one operator on all that the stage before kept:
+
+1. toxicity: documents scored 0.3 or more go;
+2. quality_rules: documents that the base rule or a learned rule rejects go;
+3. near_duplicates: of each group of near-duplicates (five-word shingles,
+   similarity 0.8) the document of the smallest id stays;
+4. substring_dedup: words under a 20-word window that starts earlier go;
+   documents that lose none keep their text as it is;
+5. packing: token ids are cut into sequences of 4096.
+
+All stages but the last return the columns of ``documents``.  Null texts are
+clean and empty (the quality rules reject them), rows with a null id are
+nobody's near-duplicate, and rows that repeat an id stay or go together.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from episcope.llm.common import read_table
+from episcope.llm.minhash import near_duplicates
+from episcope.llm.packing import pack
+from episcope.llm.quality_rules import quality_filter
+from episcope.llm.repeats import decode_kept
+from episcope.llm.substring_dedup import substring_dedup
+from episcope.llm.toxicity import score, train
+from episcope.session import materialize
+
+TOXIC = 0.3
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    scored = score(docs, model, out_col="__toxicity")
+    return scored.where(F.col("__toxicity") < TOXIC).select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_filter(docs, read_table(spark, sf_dir, "labels"))[0]
+
+
+def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    gone = near_duplicates(docs, words=5, percent=80).where(~F.col("kept")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = substring_dedup(docs).withColumn("text", decode_kept("text"))
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicate_groups),
+    ("substring_dedup", repeated_passages),
+    ("packing", packing),
+]
+
+#: Learned models, sketches and token ids are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of the documents that all stages keep."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
