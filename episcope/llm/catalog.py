@@ -7,6 +7,7 @@ from .minhash import op2_minhash_near_dedup
 from .packing import op9_packing
 from .page_text import op4_page_text
 from .quality_rules import op8_quality_rules
+from .search import OP6_SQL, op6_top_k_search
 from .sharding import op10_sharding
 from .substring_dedup import op5_substring_dedup
 from .suffix_dedup import op3_suffix_dedup
@@ -18,10 +19,11 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_page_text": op4_page_text,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_top_k_search": op6_top_k_search,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_top_k_search": OP6_SQL}
