@@ -16,14 +16,19 @@ missed by all 40 bands of 5 rows with probability (1 - 0.8**5)**40 = 1e-7.
 **Equal sets** form classes first; only the class's smallest id goes on.
 
 **Links.**  Bands with two or more classes are buckets.  In the first round
-each class of a bucket is compared with the bucket's smallest id only, and
-components are drawn from the confirmed links.  In the second round only
-classes of one bucket that still are in different components are compared,
-each class outside the bucket's largest component with the classes of other
-components whose set sizes allow the threshold.  So a group of copies costs one
-comparison per copy, not one per pair, and no link between components is lost:
-a link inside a component changes nothing.  Every comparison intersects the
-full shingle sets of both texts.
+each class of a bucket is compared only with the bucket's centre, the class
+that has most company over all its buckets, and components are drawn from the
+confirmed links.  In the second round the buckets that still hold different
+components are compared in chunks: their classes are dealt, by the centre they
+know, into chunks of at most ``CHUNK_ROWS`` rows or about ``CHUNK_BYTES`` of
+text, those already tied to the centre apart from the rest, and a task compares
+two chunks that meet in a bucket by the intersections of all their sets.  So a group of copies costs one
+comparison per copy; chunks of one component are never compared with each
+other (a link inside a component changes nothing); no pairs of documents are
+made, only pairs of chunks; and no link is lost.  What is left after the first
+round (near copies of a family that fall below the threshold to its centre)
+costs the product of their number and the family's.  Every comparison
+intersects the full shingle sets of both texts.
 
 Nulls, empty texts: no shingle, linked with nothing, a component of their own.
 Rows that repeat an id count as one document with the greatest text of that
@@ -159,6 +164,93 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
 
+CHUNK_ROWS, CHUNK_BYTES = 256, 1 << 20
+
+
+def chunk_links(tied: DataFrame, comp: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components that meet in a bucket; per chunk pair only those that join something new."""
+    placed = (tied.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+              .withColumn("comp", F.coalesce("comp", "doc_id")))
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key")
+    apart = materialize(placed.join(mixed, "key").select("key", "doc_id", "comp", "centre"), "apart")
+    # Each class goes to the least centre it knows; with it the classes of the centre's component are dealt apart.
+    home = apart.groupBy("doc_id", "comp").agg(F.min("centre").alias("centre"))
+    own = comp.select(F.col("node").alias("centre"), F.col("comp").alias("of_centre"))
+    inside = F.col("comp") == F.coalesce("of_centre", "centre")
+    rows = (home.join(own, "centre", "left")
+            .select("doc_id", "comp", "centre", inside.alias("inside"), F.when(inside, F.col("comp")).otherwise(0).alias("main"))
+            .join(texts.select(F.col("id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), "doc_id"))
+    group = ["centre", "inside", "main"]
+    parts = rows.groupBy(*group).agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / CHUNK_ROWS, F.sum(F.octet_length("text")) / CHUNK_BYTES, F.lit(1))).alias("parts"))
+    chunks = materialize(
+        rows.join(parts, group).groupBy(*group, F.pmod(F.xxhash64("doc_id"), "parts").alias("part"))
+        .agg(F.min("doc_id").alias("chunk"), F.collect_list("doc_id").alias("ids"), F.collect_list("comp").alias("comps"),
+             F.collect_list("text").alias("texts"))
+        .select("chunk", F.when(F.col("inside"), F.col("main")).alias("main"), "ids", "comps", "texts"), "chunks")
+    where = chunks.select("chunk", "main", F.explode("ids").alias("doc_id"))
+    meets = apart.select("key", "doc_id").join(where, "doc_id").select("key", "chunk", "main").distinct()
+    x = meets.select("key", F.col("chunk").alias("x"), F.col("main").alias("main_x"))
+    y = meets.select("key", F.col("chunk").alias("y"), F.col("main").alias("main_y"))
+    pairs = (x.join(y, "key").where("x <= y and not coalesce(main_x = main_y, false)").select("x", "y").distinct())
+    side = lambda s: chunks.select(F.col("chunk").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("ids", "comps", "texts")])
+
+    def compare(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k] for c in batch.schema.names}
+                a, b = _chunk_pair(row, words, percent)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return pairs.join(side("x"), "x").join(side("y"), "y").drop("x", "y").mapInArrow(compare, "a long, b long")
+
+
+def _chunk_pair(row: dict, words: int, percent: int) -> tuple[list[int], list[int]]:
+    ids, comps, sets = {}, {}, {}
+    for s in "xy":
+        ids[s], comps[s] = (np.array(row[f"{c}_{s}"].as_py(), dtype=np.int64) for c in ("ids", "comps"))
+        sets[s] = shingle_sets(row[f"texts_{s}"].values, words)
+    same = intersections(*sets["x"], *sets["y"])
+    nx, ny = np.diff(sets["x"][1]), np.diff(sets["y"][1])
+    linked = (100 * same >= percent * (nx[:, None] + ny[None, :] - same)) & (same > 0) & (comps["x"][:, None] != comps["y"][None, :])
+    a, b, seen = [], [], {}
+
+    def find(c):
+        while seen.setdefault(c, c) != c:
+            c = seen[c]
+        return c
+
+    for i, j in zip(*np.nonzero(linked)):  # links that join components not yet joined in this pair of chunks
+        p, q = find(comps["x"][i]), find(comps["y"][j])
+        if p != q:
+            seen[max(p, q)] = min(p, q)
+            a.append(int(ids["x"][i]))
+            b.append(int(ids["y"][j]))
+    return a, b
+
+
+def intersections(va: np.ndarray, ia: np.ndarray, vb: np.ndarray, ib: np.ndarray, width: int = 1 << 13) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of another, by blocks of shared values."""
+    common = np.intersect1d(va, vb)
+    out = np.zeros((len(ia) - 1, len(ib) - 1), dtype=np.float32)
+    sides = []
+    for v, i in ((va, ia), (vb, ib)):
+        at = np.searchsorted(common, v)
+        hit = (at < len(common)) & (common[np.minimum(at, len(common) - 1)] == v) if len(common) else np.zeros(len(v), dtype=bool)
+        owner = np.repeat(np.arange(len(i) - 1), np.diff(i))[hit]
+        order = np.argsort(at[hit], kind="stable")
+        sides.append((at[hit][order], owner[order], len(i) - 1))
+    for low in range(0, len(common), width):
+        dense = []
+        for at, owner, n in sides:
+            s, e = np.searchsorted(at, (low, low + width))
+            m = np.zeros((n, min(width, len(common) - low)), dtype=np.float32)
+            m[owner[s:e], at[s:e] - low] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return np.rint(out).astype(np.int64)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept."""
@@ -168,34 +260,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     classes = every.where(solid & F.col("doc_id").isNotNull()).groupBy(*same).agg(F.min("doc_id").alias("rep"))
     keyed = (every.where(solid).join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
              .select("doc_id", "n_shingles", F.explode("keys").alias("key")))
-    heads = (keyed.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"))
-             .where("head < last").select("key", "head"))
-    buckets = materialize(keyed.join(heads, "key").select("key", "head", "doc_id", "n_shingles"), "buckets")
-
-    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    sized = buckets.where("doc_id = head").select("key", F.col("n_shingles").alias("n_head"))
-    stars = (buckets.where("doc_id > head").join(sized, "key").where(fits(F.col("n_shingles"), F.col("n_head")))
-             .select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct())
-    members = buckets.select(F.col("doc_id").alias("id")).distinct()
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n_in")).where("n_in > 1")
+    buckets = materialize(keyed.join(shared, "key"), "buckets")  # key, doc_id, n_shingles, n_in
+    company = buckets.groupBy("doc_id").agg(F.sum("n_in").alias("company"))
+    centres = (buckets.join(company, "doc_id").groupBy("key")
+               .agg(F.max(F.struct("company", (-F.col("doc_id")).alias("id"), "n_shingles")).alias("top"))
+               .select("key", (-F.col("top.id")).alias("centre"), F.col("top.n_shingles").alias("n_centre")))
+    tied = materialize(buckets.drop("n_in").join(centres, "key"), "tied")
+
+    fits = 100 * F.least("n_shingles", "n_centre") >= percent * F.greatest("n_shingles", "n_centre")
+    stars = (tied.where("doc_id != centre").where(fits)
+             .select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct())
     texts = materialize(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-                        .join(members, "id", "left_semi"), "texts")
+                        .join(tied.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi"), "texts")
     links = materialize(confirmed(stars, texts, words, percent), "links")
     comp = materialize(components(links), "components")
-
-    # What the first round left apart: classes of one bucket in different components.
-    placed = (buckets.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-              .withColumn("comp", F.coalesce("comp", "doc_id")))
-    sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = (sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
-            .where("comps > 1").select("key", F.col("top.comp").alias("main")))
-    apart = materialize(placed.join(main, "key").select("key", "doc_id", "n_shingles", "comp", "main"), "apart")
-    x, y = apart.where("comp != main").alias("x"), apart.alias("y")
-    cross = (x.join(y, F.col("x.key") == F.col("y.key"))
-             .where((F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.doc_id") < F.col("y.doc_id")))
-                    & fits(F.col("x.n_shingles"), F.col("y.n_shingles")))
-             .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-             .join(stars, ["a", "b"], "left_anti"))
-    more = materialize(confirmed(cross, texts, words, percent), "links")
+    more = materialize(chunk_links(tied, comp, texts, words, percent), "links")
     final = materialize(components(links.unionByName(more)), "components")
 
     rep = classes.join(final, classes["rep"] == final["node"], "left").select(*same, F.coalesce("comp", "rep").alias("comp"))
