@@ -24,7 +24,8 @@ from .operators import extract as X
 from .operators import reports as RP
 from .plans.calendar import chunk_id, in_period
 from .plans.params import DEFAULT, RunParams
-from .sources.fixtures import Inputs, load_inputs
+from .sources.fixtures import load_inputs
+from .sources.tables import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,7 +120,7 @@ def duplicate_episode_report(spark, sf_dir):
     trusts = inp.trustsics.select(F.col("code").alias(EPI.PROV), "trustname")
     return (dup.join(trusts, EPI.PROV, "left")
             .select(EPI.EP, _day("treatmentstartdate").alias("treatmentstartdate"),
-                    "patientid", EPI.PROV, "trustname").distinct())
+                    "patientid", EPI.PROV, "trustname"))
 
 
 @query("working_days_clean")
@@ -228,7 +229,12 @@ def schedule_group(spark, sf_dir):
 
 @query("provider_patch")
 def provider_patch(spark, sf_dir):
-    ext = CL.patch_provider(extract_df(spark, sf_dir))
+    """A hand-over that still holds the two merged codes: every seventh
+    episode number is submitted under the one, the next under the other."""
+    number = F.substring("RADIOTHERAPYEPISODEID", 2, 18).cast("long") % 7
+    submitted = (F.when(number == 0, fv.PATCHED_PROVIDER_CODES[0]).when(number == 1, fv.PATCHED_PROVIDER_CODES[1])
+                 .otherwise(F.col("ORGCODEPROVIDER")))
+    ext = CL.patch_provider(extract_df(spark, sf_dir).withColumn("ORGCODEPROVIDER", submitted))
     return ext.groupBy("ORGCODEPROVIDER", "COUNTRY", "PROVIDER_NAME", "RT_NETWORK_NAME",
                        "CANCER_ALLIANCE_OLD", "CANCER_ALLIANCE_NEW").agg(_n())
 
@@ -494,6 +500,25 @@ def chunked_equals_single(spark, sf_dir):
 
 # -- hand-over files ----------------------------------------------------------------
 
+@query("extract_from_raw_tables")
+def extract_from_raw_tables(spark, sf_dir):
+    """The extract over raw tables read by the typed reader: dates with a time
+    of day, blanks for nulls, and columns in another order."""
+    from .session import scratch_path
+    from .sources.tables import SCHEMAS, read_inputs
+
+    inp, folder = load_inputs(spark, sf_dir), scratch_path(spark, "raw")
+    for name, schema in SCHEMAS.items():
+        def raw(f):
+            kind = f.dataType.simpleString()
+            c = F.col(f.name).cast("string") if kind == "string" else F.col(f.name)
+            if kind == "date":
+                return (F.to_timestamp(F.col(f.name)) + F.expr("INTERVAL 10 HOURS")).alias(f.name)
+            return F.coalesce(c, F.lit("")).alias(f.name) if kind == "string" else c
+        getattr(inp, name).select(*[raw(f) for f in reversed(schema.fields)]).write.parquet(f"{folder}/{name}")
+    return X.extract(read_inputs(spark, folder))
+
+
 @query("extract_file_roundtrip")
 def extract_file_roundtrip(spark, sf_dir):
     """The extract written as the pipe-delimited hand-over file (named by its
@@ -521,6 +546,16 @@ def qa_value_profile(spark, sf_dir):
     return RP.value_profile(cleaned_df(spark, sf_dir))
 
 
+@query("qa_published_profile")
+def qa_published_profile(spark, sf_dir):
+    return RP.value_profile(published_table(spark, sf_dir), RP.PUBLISHED_PROFILE)
+
+
+@query("qa_unknown_deprivation")
+def qa_unknown_deprivation(spark, sf_dir):
+    return RP.level_slice(published_table(spark, sf_dir), [fv.LVL_DEPRIVATION], "Unknown")
+
+
 @query("qa_unmatched_months")
 def qa_unmatched_months(spark, sf_dir):
     inp = load_inputs(spark, sf_dir)

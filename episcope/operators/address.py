@@ -13,12 +13,11 @@ Instead the choice is made exactly from three candidates per (patient, day):
 * the best address on the soonest address date > day,
 * the best undated address,
 
-compared under the specification's rank.  The latest/soonest address dates
-are an as-of lookup done with aggregates and equi-joins only: address dates
-are summarised per dyadic day block (max and min per block, 22 levels), and
-a day's prefix [0, day] and suffix (day, end) each decompose into at most 22
-such blocks.  Every step is a bounded explode, a map-side aggregate or an
-equi-join AQE can split; no pair of rows of one patient is ever formed.
+compared under the specification's rank.  The latest and soonest address dates
+come from one window per patient over distinct days: inside the extraction
+period a patient has at most as many days as the period (1,978 by default),
+however many rows there are, and address days outside it reduce to one maximum
+and one minimum per patient.  No pair of rows of one patient is ever formed.
 Rows with equal rank and address id (an address matching several look-up
 rows) are ordered by home area, then deprivation, nulls last, so the choice
 is deterministic.
@@ -28,35 +27,35 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..functions.fixed_values import PERIOD_END, PERIOD_START
-from ..sources.fixtures import Inputs
-from .lookup import bounded_broadcast
+from ..session import materialize
+from ..sources.tables import Inputs
 
 NO_DATE_RANK = 9999
 RANK_ANCHOR = "1800-01-01"
 
 
-def address_geography(inp: Inputs) -> DataFrame:
-    """Each address with its home area (ICB, or health authority outside
-    England) and deprivation quintile; exact postcode match, left joins."""
-    a = inp.address.select("addressid", "patientid", "dateofaddress", "postcode")
-    n = inp.nspl.select(F.col("pcd").alias("postcode"), "lsoa11", "hlthau")
-    ha = bounded_broadcast(inp.hlthau.select(F.col("hlthaucd").alias("hlthau"), "hlthaunm"))
+def address_geography(inp: Inputs, patients: DataFrame | None = None) -> DataFrame:
+    """Each address (of ``patients``, if given) with its home area (ICB, or
+    health authority outside England) and deprivation quintile; exact postcode
+    match, left joins.  The look-ups are joined to each other first, so the
+    growing address table is shuffled once."""
     icb = inp.lsoa_icb.select(F.col("lsoa11cd").alias("lsoa11"), "icb22nm")
     imd = inp.imd.select(F.col("lsoa11_code").alias("lsoa11"), "imd19_quintile_lsoas")
-    g = (a.join(n, "postcode", "left")
-         .join(ha, "hlthau", "left")
-         .join(icb, "lsoa11", "left")
-         .join(imd, "lsoa11", "left"))
-    return g.select(
-        "patientid", "addressid", "dateofaddress",
-        C.home_area(F.col("lsoa11"), F.col("hlthaunm"), F.col("icb22nm")).alias("icb_hb"),
-        F.col("imd19_quintile_lsoas"),
-    )
+    places = (inp.nspl.select(F.col("pcd").alias("postcode"), "lsoa11", "hlthau")
+              .join(inp.hlthau.select(F.col("hlthaucd").alias("hlthau"), "hlthaunm"), "hlthau", "left")
+              .join(icb, "lsoa11", "left").join(imd, "lsoa11", "left")
+              .select("postcode", C.home_area(F.col("lsoa11"), F.col("hlthaunm"), F.col("icb22nm")).alias("icb_hb"),
+                      "imd19_quintile_lsoas"))
+    a = inp.address.select("addressid", "patientid", "dateofaddress", "postcode")
+    if patients is not None:
+        a = a.join(patients, "patientid", "left_semi")
+    return a.join(places, "postcode", "left").select(
+        "patientid", "addressid", "dateofaddress", "icb_hb", "imd19_quintile_lsoas")
 
 
 def address_rank(address_date, start_date):
@@ -83,63 +82,39 @@ def _tie_break() -> "Column":
     )
 
 
-def _levels(n: int):
-    return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("lvl")
-
-
 def neighbour_address_days(days: DataFrame, address_days: DataFrame, span: int) -> DataFrame:
     """For each (patient, treatment day ``t``, 0 <= t <= span): the latest
-    address day <= t (``prev``) and the soonest address day > t (``next``).
-
-    Address days outside [0, span] do not depend on ``t``: one max (before)
-    and one min (after) per patient.  Inside, address days are summarised
-    per dyadic block (max and min per level and block), and [0, t] is the
-    union of the blocks ``((t+1) >> l) - 1`` for the set bits ``l`` of
-    ``t+1``, (t, 2**L) the union of the blocks ``(t >> l) + 1`` for the
-    clear bits ``l`` of ``t`` -- at most L blocks each, L = bits of span+1."""
-    levels = max(int(span + 1).bit_length(), 1)
-    dated = address_days.filter(F.col("x").isNotNull())
+    address day <= t (``prev``) and the soonest address day > t (``next``)."""
+    dated = address_days.filter(F.col("x").isNotNull() & F.col("patientid").isNotNull())
     outside = dated.groupBy("patientid").agg(
         F.max(F.when(F.col("x") < 0, F.col("x"))).alias("prev_out"),
         F.min(F.when(F.col("x") > span, F.col("x"))).alias("next_out"))
-    blocks = (dated.filter(F.col("x").between(0, span)).select("patientid", "x", _levels(levels))
-              .withColumn("blk", F.expr("shiftright(x, lvl)"))
-              .groupBy("patientid", "lvl", "blk")
-              .agg(F.max("x").alias("blk_max"), F.min("x").alias("blk_min")))
-    exploded = days.select("patientid", "t", _levels(levels))
-    prefix = (exploded.filter(F.expr("shiftright(t + 1, lvl) & 1 = 1"))
-              .select("patientid", "t", "lvl", F.expr("shiftright(t + 1, lvl) - 1").alias("blk"),
-                      F.lit(True).alias("before")))
-    suffix = (exploded.filter(F.expr("shiftright(t, lvl) & 1 = 0"))
-              .select("patientid", "t", "lvl", F.expr("shiftright(t, lvl) + 1").alias("blk"),
-                      F.lit(False).alias("before")))
-    inside = (prefix.unionByName(suffix).join(blocks, ["patientid", "lvl", "blk"], "inner")
-              .groupBy("patientid", "t")
-              .agg(F.max(F.when(F.col("before"), F.col("blk_max"))).alias("prev_in"),
-                   F.min(F.when(~F.col("before"), F.col("blk_min"))).alias("next_in")))
-    return (days.join(inside, ["patientid", "t"], "left").join(outside, "patientid", "left")
+    inside = dated.filter(F.col("x").between(0, span)).select("patientid", F.col("x").alias("t"), F.lit(True).alias("moved"))
+    # One row per patient and day: at most span + 1 rows in a window.
+    line = (days.filter(F.col("patientid").isNotNull()).select("patientid", "t", F.lit(False).alias("moved")).unionByName(inside)
+            .groupBy("patientid", "t").agg(F.max("moved").alias("moved"), F.min("moved").alias("only_moved")))
+    at = F.when(F.col("moved"), F.col("t"))
+    upward = Window.partitionBy("patientid").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    downward = Window.partitionBy("patientid").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
+    near = (line.withColumn("prev_in", F.max(at).over(upward)).withColumn("next_in", F.min(at).over(downward))
+            .filter(~F.col("only_moved")).select("patientid", "t", "prev_in", "next_in"))
+    return (days.join(near, ["patientid", "t"], "left").join(outside, "patientid", "left")
             .select("patientid", "t",
                     F.coalesce("prev_in", "prev_out").alias("prev"),
                     F.coalesce("next_in", "next_out").alias("next")))
 
 
-def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_day: str,
-                         address_dates: DataFrame | None = None) -> DataFrame:
+def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_day: str) -> DataFrame:
     """(patient, treatment date) -> the preferred address as a ranked struct
     (null when the patient has no address).  Treatment dates must lie in
-    [first_day, last_day] (the extraction period).
-
-    ``address_dates`` (patientid, dateofaddress) may be the address table
-    itself: the look-ups joined into ``geo`` never change which address
-    dates a patient has, so the as-of step need not read them."""
+    [first_day, last_day] (the extraction period)."""
     zero = first_day
     span = (dt.date.fromisoformat(last_day) - dt.date.fromisoformat(first_day)).days
-    dates = geo if address_dates is None else address_dates
-    address_days = dates.select("patientid", _day_number(F.col("dateofaddress"), zero).alias("x"))
-    on_day = geo.groupBy("patientid", _day_number(F.col("dateofaddress"), zero).alias("x")).agg(
-        F.min(_tie_break()).alias("b"))
+    # Stored: the as-of step and the look-ups read it, the address table is read once.
+    on_day = materialize(geo.groupBy("patientid", _day_number(F.col("dateofaddress"), zero).alias("x")).agg(
+        F.min(_tie_break()).alias("b")), "address_days")
     d = days.select("patientid", _day_number(F.col("treatmentstartdate"), zero).alias("t")).distinct()
-    nb = neighbour_address_days(d, address_days, span)
+    nb = neighbour_address_days(d, on_day.select("patientid", "x"), span)
     # Three look-ups per day: the address day before, the one after, undated.
     looks = nb.select(
         "patientid", "t",
@@ -164,14 +139,13 @@ def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_d
 
 
 def best_address(keys: DataFrame, key_cols: list[str], geo: DataFrame,
-                 first_day: str = PERIOD_START, last_day: str = PERIOD_END,
-                 address_dates: DataFrame | None = None) -> DataFrame:
+                 first_day: str = PERIOD_START, last_day: str = PERIOD_END) -> DataFrame:
     """For each key (carrying ``patientid`` and ``treatmentstartdate``) the
     home area and deprivation of its best address.  The date is part of every
     key, so the key's best is the best of its patients' per-day bests (a min
     of mins).  Keys whose patients have no address keep null geography."""
     days = keys.select("patientid", "treatmentstartdate").distinct()
-    per_day = best_address_per_day(days, geo, first_day, last_day, address_dates)
+    per_day = best_address_per_day(days, geo, first_day, last_day)
     best = (keys.join(per_day, ["patientid", "treatmentstartdate"], "left")
             .groupBy(*key_cols).agg(F.min("best").alias("best")))
     return best.select(*key_cols,

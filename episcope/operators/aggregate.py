@@ -54,20 +54,16 @@ def _group_row(spec_id: int, period: str, geo: Geo, spec: Spec) -> Column:
     )
 
 
-def _parallelism(df: DataFrame) -> int:
-    """Tasks for the explode: the shuffle partition count, but no more than
-    two per core (a fixed count is not coalesced by AQE, and on a cluster two
-    waves over all cores already give tasks of bounded size)."""
-    spark = df.sparkSession
-    try:
-        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    except (TypeError, ValueError):
-        n = 200
-    try:
-        n = min(n, 2 * spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 -- sessions without a SparkContext
-        pass
-    return n
+def mirrored(specs) -> dict[int, int]:
+    """Spec number -> number of the later spec with the same rows and its two levels swapped."""
+    out, seen = {}, {}
+    for i, (period, geo, s) in enumerate(specs):
+        twin = seen.get((period, geo, s.lvl_2_col, s.prim_col, s.intents)) if s.lvl_2_col else None
+        if twin is not None and twin not in out:
+            out[twin] = i
+        elif s.lvl_2_col:
+            seen[(period, geo, s.prim_col, s.lvl_2_col, s.intents)] = i
+    return out
 
 
 def spec_rows(cleaned: DataFrame, specs=None) -> DataFrame:
@@ -79,13 +75,16 @@ def spec_rows(cleaned: DataFrame, specs=None) -> DataFrame:
     loading one task)."""
     specs = all_specs() if specs is None else specs
     arms = []
+    mirrors = set(mirrored(specs).values())
     for i, (period, geo, spec) in enumerate(specs):
+        if i in mirrors:
+            continue
         row = _group_row(i, period, geo, spec)
         if spec.intents is not None:
             row = F.when(F.col("INTENT").isin(*spec.intents), row)
         arms.append(row)
-    spread = cleaned.repartition(_parallelism(cleaned))
-    return spread.select(F.col(EP), F.inline(F.array_compact(F.array(*arms))))
+    parts = int(cleaned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cleaned.repartition(parts).select(F.col(EP), F.inline(F.array_compact(F.array(*arms))))
 
 
 def _pick(values: list) -> Column:
@@ -99,6 +98,7 @@ def count_episodes(cleaned: DataFrame, specs=None) -> DataFrame:
     specs = all_specs() if specs is None else specs
     counts = (spec_rows(cleaned, specs).groupBy(*NARROW_KEYS)
               .agg(F.countDistinct(EP).alias("episodeCount")))
+    counts = with_mirrors(counts, specs)
     return counts.select(
         "activity_year", "activity_month",
         _pick([p for p, _, _ in specs]).alias("period"), "wd",
@@ -108,6 +108,19 @@ def count_episodes(cleaned: DataFrame, specs=None) -> DataFrame:
         "episodeCount")
 
 
+def with_mirrors(counts: DataFrame, specs) -> DataFrame:
+    """Adds the mirrored specs' rows: the same counts with the two level values swapped."""
+    pairs = mirrored(specs)
+    if not pairs:
+        return counts
+    twin = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+    row = lambda number, a, b: F.struct(number.cast("int").alias("spec_id"), F.col(a).alias("prim_val"), F.col(b).alias("lvl_2_val"))
+    rows = F.array_compact(F.array(
+        row(F.col("spec_id"), "prim_val", "lvl_2_val"),
+        F.when(F.col("spec_id").isin(*pairs), row(F.try_element_at(twin, F.col("spec_id")), "lvl_2_val", "prim_val"))))
+    return counts.select("activity_year", "activity_month", "wd", "geo_val", "episodeCount", F.inline(rows))
+
+
 def fold_low_counts(counts: DataFrame) -> DataFrame:
     """National rows only: values of the schedule levels counted below 5 are
     relabelled 'other' (first and second level tested on their own), then

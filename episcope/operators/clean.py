@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import recode as R
 from ..plans.params import DEFAULT, RunParams
-from .lookup import bounded_broadcast
 
 
 def patch_provider(ext: DataFrame) -> DataFrame:
@@ -53,10 +52,8 @@ def join_working_days(ext: DataFrame, wd: DataFrame, how: str = "left") -> DataF
     """Working days of the month.  The specification uses a full outer join;
     its right-only rows have no gender and are dropped by the gender filter,
     so the left join gives the same published rows.  ``how='full'`` keeps
-    them (for the unmatched-months report).  The working-day table has one
-    row per month, so it is joined as a broadcast of proven size."""
-    right = bounded_broadcast(wd) if how == "left" else wd
-    return ext.join(right, "CALENDAR_MONTH", how)
+    them (for the unmatched-months report)."""
+    return ext.join(wd, "CALENDAR_MONTH", how)
 
 
 def recode_demographics(ext: DataFrame) -> DataFrame:

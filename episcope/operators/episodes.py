@@ -26,7 +26,7 @@ from ..functions import fixed_values as fv
 from ..plans.calendar import chunk_id, in_period
 from ..plans.params import DEFAULT, RunParams
 from ..session import materialize
-from ..sources.fixtures import Inputs
+from ..sources.tables import Inputs
 
 EP = "radiotherapyepisodeid"
 PROV = "orgcodeprovider"          # provider code as submitted
@@ -178,10 +178,10 @@ def _first_known(value: str, order: list[str]) -> Column:
     return F.min(F.when(F.col(value).isNotNull(), s)).getField("v")
 
 
-def episode_summary(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
+def episode_summary(rows: DataFrame, params: RunParams = DEFAULT, *more: Column) -> DataFrame:
     """Per (episode, submitted provider[, chunk]): maximum dose and fractions
     (independent maxima) and the first known ethnicity, ethnicity name and
-    sex by treatment date (patient id breaks ties)."""
+    sex by treatment date (patient id breaks ties), and any ``more`` aggregates."""
     keys = [EP, PROV] + _chunk_cols(params)
     order = ["treatmentstartdate", "patientid"]
     return rows.groupBy(*keys).agg(
@@ -190,6 +190,7 @@ def episode_summary(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
         _first_known("ethnicity", order).alias("first_ethnicity"),
         _first_known("ethnicityname", order).alias("first_ethnicityname"),
         _first_known("sex", order).alias("first_sex"),
+        *more,
     )
 
 
@@ -209,10 +210,11 @@ def episode_values(rows: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     provider.  Both are small per-episode tables, joined to each other here
     so that the rows need only one join back."""
     chunk = _chunk_cols(params)
-    summary = episode_summary(rows, params).withColumn(MAPPED, C.provider_remap(F.col(PROV)))
-    mins = (rows.filter(is_adult()).groupBy(EP, MAPPED, *chunk)
-            .agg(F.min("ordered_intent").alias("min_intent")))
-    return summary.join(mins, [EP, MAPPED, *chunk], "left").drop(MAPPED)
+    adult = F.min(F.when(is_adult(), F.col("ordered_intent"))).alias("adult_intent")
+    summary = episode_summary(rows, params, adult).withColumn(MAPPED, C.provider_remap(F.col(PROV)))
+    # The least of the submitted providers' least ranks: the rows are read once.
+    mins = summary.groupBy(EP, MAPPED, *chunk).agg(F.min("adult_intent").alias("min_intent"))
+    return summary.join(mins, [EP, MAPPED, *chunk], "left").drop(MAPPED, "adult_intent")
 
 
 # The columns that identify a candidate row of the best-address choice.

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import classify as C
 from ..plans.params import DEFAULT, RunParams
 from ..session import materialize
-from ..sources.fixtures import Inputs
+from ..sources.tables import Inputs
 from .address import address_geography, best_address
 from .episodes import EP, EPISODE_KEY, MAPPED, episode_keys
-from .lookup import bounded_broadcast
 
 EXTRACT_COLUMNS = [
     "ORGCODEPROVIDER", "COUNTRY", "PROVIDER_NAME", "RT_NETWORK_NAME",
@@ -29,19 +28,18 @@ MONTH_COUNT_KEY = ["RADIOTHERAPYEPISODEID", "CANCERTYPE", "ORGCODEPROVIDER", "CA
 
 def addressed_keys(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
     """One row per episode key with its best address (rank-1 rows)."""
-    keys = episode_keys(inp, params)
-    return best_address(keys, EPISODE_KEY + ["calendar_month"], address_geography(inp),
-                        params.period_start, params.period_end,
-                        inp.address.select("patientid", "dateofaddress"))
+    keys = materialize(episode_keys(inp, params), "episode_keys")
+    geo = address_geography(inp, keys.select("patientid").distinct())
+    return best_address(keys, EPISODE_KEY + ["calendar_month"], geo, params.period_start, params.period_end)
 
 
 def labelled_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
     """Rank-1 rows with the network look-up and every label, before the
     final DISTINCT (20 columns, upper-case names of the hand-over file)."""
     rows = addressed_keys(inp, params)
-    net = bounded_broadcast(inp.rt_networks.select(
+    net = inp.rt_networks.select(
         F.col("provider_code").alias(MAPPED), "country", "provider_name",
-        "rt_network_name", "cancer_alliance_old", "cancer_alliance_new"))
+        "rt_network_name", "cancer_alliance_old", "cancer_alliance_new")
     rows = rows.join(net, MAPPED, "left")
     rank, tumour, dose, fx = "min_intent", "cancertype", "max_dose", "max_fractions"
     return rows.select(
@@ -87,7 +85,15 @@ def count_per(rows: DataFrame, key: list[str], name: str = "COUNT") -> DataFrame
 def extract(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
     """The hand-over extract: distinct labelled rows plus the per
     episode-month count by provider name (21 columns)."""
-    rows = materialize(labelled_rows(inp, params).distinct(), "extract_rows")
+    return recounted(extract_rows(inp, params))
+
+
+def extract_rows(inp: Inputs, params: RunParams = DEFAULT) -> DataFrame:
+    """The distinct labelled rows, stored."""
+    return materialize(labelled_rows(inp, params).distinct(), "extract_rows")
+
+
+def recounted(rows: DataFrame) -> DataFrame:
     return count_per(rows, RECOUNT_KEY).select(*EXTRACT_COLUMNS)
 
 
@@ -95,7 +101,7 @@ def month_counts_before_distinct(inp: Inputs, params: RunParams = DEFAULT) -> Da
     """The row count per (episode, tumour, provider code, month) that the
     extract query computes before its DISTINCT (later replaced by the
     recount)."""
-    rows = labelled_rows(inp, params)
+    rows = materialize(labelled_rows(inp, params), "labelled_rows")
     return count_per(rows, MONTH_COUNT_KEY).distinct()
 
 

@@ -12,7 +12,10 @@ PROFILED_COLUMNS = [
     "EPI_YEAR", "EPI_MONTH", "CALENDAR_MONTH", "INTENT", "AGEGROUP", "GENDER",
     "ETHNICITY", "DEPRIVATION", "ICB", "CANCERTYPE", "FRACTIONATION_CATEGORY",
     "DOSE_FRACTIONATION_SCHEDULES", "CANCER_ALLIANCE_NEW", "WORKING_DAYS",
+    "SEX", "ETHNICITYNAME", "IMD19_QUINTILE_LSOAS", "ICB_HB",
 ]
+# Columns of the published table reviewed before release.
+PUBLISHED_PROFILE = ["prim_val", "prim_lvl", "wd"]
 
 
 def value_profile(cleaned: DataFrame, columns: list[str] = PROFILED_COLUMNS) -> DataFrame:
@@ -36,5 +39,7 @@ def low_counts(published: DataFrame, limit: int = fv.LOW_COUNT_LIMIT) -> DataFra
     return published.filter(F.col("episodeCount") < limit)
 
 
-def level_slice(published: DataFrame, levels: list[str]) -> DataFrame:
-    return published.filter(F.col("prim_lvl").isin(*levels))
+def level_slice(published: DataFrame, levels: list[str], value: str | None = None) -> DataFrame:
+    """Rows of some primary levels, or those of one value of theirs."""
+    rows = published.filter(F.col("prim_lvl").isin(*levels))
+    return rows if value is None else rows.filter(F.col("prim_val") == value)

@@ -15,23 +15,36 @@ from pyspark.sql import SparkSession
 from ..operators import aggregate as AG
 from ..operators import clean as CL
 from ..operators import extract as X
-from ..sources.fixtures import Inputs
-from ..sources.io import read_extract, write_extract, write_published
+from ..session import release_scratch
+from ..sources.io import extract_file_tag, read_extract, read_working_days_csv, write_extract, write_published
+from ..sources.tables import Inputs, read_inputs
 from .params import DEFAULT, RunParams
 
 
 def run_extract(inp: Inputs, out_folder: str, params: RunParams = DEFAULT, fmt: str = "csv") -> str:
-    return write_extract(X.extract(inp, params), out_folder, fmt)
+    rows = X.extract_rows(inp, params)
+    return write_extract(X.recounted(rows), out_folder, fmt, tag=extract_file_tag(rows))
 
 
 def run_aggregation(spark: SparkSession, extract_path: str, inp: Inputs, out_folder: str,
-                    params: RunParams = DEFAULT, fmt: str = "csv", run_date: dt.date | None = None) -> dict:
-    cleaned = CL.clean(read_extract(spark, extract_path, fmt), inp.working_days, params)
+                    params: RunParams = DEFAULT, fmt: str = "csv", run_date: dt.date | None = None,
+                    working_days_csv: str | None = None) -> dict:
+    """Working days come from the CSV file where one is named, else from the input table."""
+    days = read_working_days_csv(spark, working_days_csv) if working_days_csv else inp.working_days
+    cleaned = CL.clean(read_extract(spark, extract_path, fmt), days, params)
     return write_published(AG.publish(cleaned), out_folder, run_date)
 
 
 def monthly_run(spark: SparkSession, inp: Inputs, out_folder: str, params: RunParams = DEFAULT,
-                run_date: dt.date | None = None) -> dict:
+                run_date: dt.date | None = None, working_days_csv: str | None = None) -> dict:
+    """Both stages; intermediate tables are released at the end."""
     extract_path = run_extract(inp, out_folder, params)
-    return {"extract": extract_path,
-            **run_aggregation(spark, extract_path, inp, out_folder, params, run_date=run_date)}
+    paths = run_aggregation(spark, extract_path, inp, out_folder, params, run_date=run_date, working_days_csv=working_days_csv)
+    release_scratch(spark)
+    return {"extract": extract_path, **paths}
+
+
+def monthly_run_from(spark: SparkSession, tables_folder: str, out_folder: str, params: RunParams = DEFAULT,
+                     run_date: dt.date | None = None, working_days_csv: str | None = None) -> dict:
+    """The monthly run over a folder of input tables (``sources.tables.read_inputs``)."""
+    return monthly_run(spark, read_inputs(spark, tables_folder), out_folder, params, run_date, working_days_csv)

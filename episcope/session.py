@@ -3,7 +3,6 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,56 +38,59 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-_LOCAL_DIR: str | None = None
+# Tables written by ``materialize`` and ``scratch_path`` that are not released yet.
+_WRITTEN: list[str] = []
 
 
-def app_id(spark: SparkSession) -> str:
-    """Identifier of the running application (for per-session caches)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 -- sessions without a SparkContext
-        return spark.conf.get("spark.app.id", "session")
+def _is_local(master: str) -> bool:
+    """One JVM holds driver and executors (``local-cluster`` starts several)."""
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder.
+    """The session's checkpoint folder, where intermediate tables are written.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a private folder is made.
+    On a cluster ``spark.checkpoint.dir`` names a folder that driver and
+    executors share; without one this raises, as a driver's own folder would
+    leave every executor with its own part files.  Only a local session without
+    the setting (tests) gets a private folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- sessions without a SparkContext
-        global _LOCAL_DIR
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            return configured
-        _LOCAL_DIR = _LOCAL_DIR or tempfile.mkdtemp(prefix="episcope-ckpt-")
-        return _LOCAL_DIR
+    sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
+            if not _is_local(sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             current = tempfile.mkdtemp(prefix="episcope-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
     return current
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the checkpoint folder, released by ``release_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
-    Used at stage hand-overs (extract -> aggregation): it cuts the lineage so
-    a lost executor recomputes from the written table, not from the raw
-    facts, and it is the same hand-over the monthly run keeps as a file.
+    It cuts the lineage: what follows runs once from the written table, and a
+    lost executor recomputes from there, not from the raw facts.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return os.path.join(base, "out", f"{name}-{uuid.uuid4().hex}")
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far; call it once a run's outputs are written."""
+    sc = spark.sparkContext
+    released = 0
+    while _WRITTEN:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        released += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+    return released

@@ -10,21 +10,20 @@ plain view names, so both engines read the very same definitions.
 
 Every view scales with the driver's tables; none holds made-up rows except
 the seven-row provider network look-up, which is reference data by nature.
-The modulo conditions in the templates decide *what* a row is (which
-customers have a patient record, which LSOAs have an ICB or a deprivation
-quintile, which lines have an exposure), so that the inputs contain the
-gaps the specification must handle; they never subset rows for speed.
+The modulo conditions in the templates decide *what* a row is; rows that must
+find no match (customers without a patient record, LSOAs without an ICB or a
+deprivation quintile, lines without an exposure, months without activity) get
+a key that matches nothing, so every row of every table is read and kept.
 """
 
 from __future__ import annotations
 
-import os
 import re
-import uuid
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .tables import Inputs
+
 BASE_TABLES = ("orders", "lineitem", "customer", "supplier", "nation", "region", "events")
 
 # name -> SQL template.  Order matters: a view may only use earlier ones.
@@ -55,18 +54,19 @@ SELECT DISTINCT e.k*10+l.l_linenumber AS attendid, concat('E',e.epno) AS radioth
  NULLIF(split_part('P,R,PR,A,M,O,O,,P',',',CAST(round(l.l_tax*100) AS INT)+1),'') AS rttreatmentregion
 FROM {lineitem} l JOIN {ep0} e ON l.l_orderkey=e.k""",
     "at_exposures": """
-SELECT e.k*10+l.l_linenumber AS attendid, concat('E',e.epno) AS radiotherapyepisodeid,
+SELECT CASE WHEN l.l_quantity=1 THEN -1 ELSE 1 END*(e.k*10+l.l_linenumber) AS attendid,
+ concat('E',e.epno) AS radiotherapyepisodeid,
  e.patientid, e.prov AS orgcodeprovider, concat('RX',l.l_partkey) AS prescriptionid,
  CASE WHEN l.l_suppkey%10=0 THEN 'RA7OT1887' ELSE concat('M',l.l_suppkey) END AS machineid
-FROM {lineitem} l JOIN {ep0} e ON l.l_orderkey=e.k WHERE l.l_quantity<>1""",
+FROM {lineitem} l JOIN {ep0} e ON l.l_orderkey=e.k""",
     "at_patient": """
-SELECT c_custkey AS patientid,
+SELECT CASE WHEN c_custkey%103=0 THEN -c_custkey ELSE c_custkey END AS patientid,
  CASE WHEN c_custkey%101<>0 THEN CAST('1925-01-01' AS DATE) + CAST(c_custkey*37%34000 AS INT) END AS birthdatebest,
  CASE WHEN c_custkey%20=0 THEN 0 WHEN c_custkey%20=10 THEN 9 WHEN c_custkey%20=2 THEN NULL
       WHEN c_custkey%2=1 THEN 1 ELSE 2 END AS sex,
  NULLIF(split_part('A,B,C,D,E,F,G,H,J,K,L,M,N,P,R,S,Z,X,,A,A,A,A,A,T',',',c_nationkey+1),'') AS ethnicity,
  NULLIF(split_part('WHITE BRITISH,WHITE IRISH,ANY OTHER WHITE BACKGROUND,MIXED WHITE AND BLACK CARIBBEAN,MIXED WHITE AND BLACK AFRICAN,MIXED WHITE AND ASIAN,ANY OTHER MIXED BACKGROUND,ASIAN INDIAN,ASIAN PAKISTANI,ASIAN BANGLADESHI,ANY OTHER ASIAN BACKGROUND,BLACK CARIBBEAN,BLACK AFRICAN,ANY OTHER BLACK BACKGROUND,CHINESE,ANY OTHER ETHNIC GROUP,NOT STATED,NOT KNOWN,,Polish,English,WHITE,WHITE BRITISH,WHITE BRITISH,UNLISTED GROUP',',',c_nationkey+1),'') AS ethnicityname
-FROM {customer} WHERE c_custkey%103<>0""",
+FROM {customer}""",
     "address": """
 SELECT event_id AS addressid, CAST(floor(event_id/8.0) AS BIGINT) AS patientid,
  CASE WHEN event_id%7<>0 THEN CAST('2024-01-01' AS DATE) - CAST(event_id*53%6000 AS INT) END AS dateofaddress,
@@ -82,13 +82,12 @@ SELECT n_nationkey AS hlthaucd,
  CASE n_nationkey%4 WHEN 0 THEN 'Powys Teaching Health Board' WHEN 1 THEN 'Fife' WHEN 2 THEN 'Isle of Man' ELSE n_name END AS hlthaunm
 FROM {nation}""",
     "lsoa_icb": """
-SELECT concat('E',s_suppkey) AS lsoa11cd, concat(r_name,' Integrated Care Board') AS icb22nm
-FROM {supplier} JOIN {nation} ON s_nationkey=n_nationkey JOIN {region} ON n_regionkey=r_regionkey
-WHERE s_suppkey%17<>0""",
+SELECT concat(CASE WHEN s_suppkey%17=0 THEN 'X' ELSE 'E' END,s_suppkey) AS lsoa11cd, concat(r_name,' Integrated Care Board') AS icb22nm
+FROM {supplier} JOIN {nation} ON s_nationkey=n_nationkey JOIN {region} ON n_regionkey=r_regionkey""",
     "imd": """
-SELECT concat('E',s_suppkey) AS lsoa11_code,
+SELECT concat(CASE WHEN s_suppkey%19=0 THEN 'X' ELSE 'E' END,s_suppkey) AS lsoa11_code,
  split_part('1 - most deprived,2,3,4,5 - least deprived',',',CAST(s_suppkey%5 AS INT)+1) AS imd19_quintile_lsoas
-FROM {supplier} WHERE s_suppkey%19<>0""",
+FROM {supplier}""",
     "rt_networks": """
 SELECT c AS provider_code, CASE WHEN c='7A1' THEN 'Wales' ELSE 'England' END AS country,
  concat('Provider ',c) AS provider_name, concat('Network ',substr(c,1,2)) AS rt_network_name,
@@ -97,7 +96,8 @@ FROM (VALUES ('R1H'),('RNN'),('RDE'),('RAJ'),('RYR'),('RA7'),('7A1')) t(c)""",
     "working_days": """
 SELECT DISTINCT CAST(date_trunc('month', {od_shifted}) AS DATE) AS calendar_month,
  CAST(18 + month(od)%5 AS INT) AS working_days
-FROM {ep0}""",
+FROM {ep0}
+UNION SELECT DISTINCT CAST(date_trunc('month', {od_shifted} - 2922) AS DATE), CAST(20 AS INT) FROM {ep0}""",
     "trustsics": """
 SELECT provider_code AS code, provider_name AS trustname FROM {rt_networks}""",
 }
@@ -120,50 +120,9 @@ def view_dependencies(name: str) -> list[str]:
     return _REF.findall(text)
 
 
-@dataclass
-class Inputs:
-    """The extract's input tables as Spark DataFrames."""
-
-    at_episodes: DataFrame
-    at_prescriptions: DataFrame
-    at_exposures: DataFrame
-    at_patient: DataFrame
-    address: DataFrame
-    nspl: DataFrame
-    hlthau: DataFrame
-    lsoa_icb: DataFrame
-    imd: DataFrame
-    rt_networks: DataFrame
-    working_days: DataFrame
-    trustsics: DataFrame
-
-
-def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """A scan with fewer splits than the cluster has cores (one small file of
-    one row group) is spread round-robin; large inputs are left alone."""
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- sessions without a SparkContext
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
-# Tables that grow with the data (the others are small dimensions).
-GROWING_TABLES = ("orders", "lineitem", "customer", "events")
-
-
-def read_base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    out = {}
-    for t in BASE_TABLES:
-        df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
-        out[t] = _spread(df, spark) if t in GROWING_TABLES else df
-    return out
-
-
 def input_views(spark: SparkSession, sf_dir: str) -> Inputs:
     """Every input view as a lazy DataFrame over the driver's tables."""
-    frames: dict[str, DataFrame] = read_base_tables(spark, sf_dir)
+    frames: dict[str, DataFrame] = {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
     for name in VIEW_TEMPLATES:
         deps = {d: frames[d] for d in set(view_dependencies(name))}
         text = render(name, "spark", table_ref=lambda n: "{" + n + "}")
@@ -171,51 +130,6 @@ def input_views(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(**{f: frames[f] for f in Inputs.__dataclass_fields__})
 
 
-# (application id, data folder, file stamps) -> folder of the prepared tables
-_PREPARED: dict[tuple, str] = {}
-
-
-def _stamp(sf_dir: str) -> tuple:
-    out = []
-    for t in BASE_TABLES:
-        st = os.stat(f"{sf_dir}/{t}.parquet")
-        out.append((t, st.st_size, int(st.st_mtime)))
-    return tuple(out)
-
-
-def prepare_inputs(spark: SparkSession, sf_dir: str) -> str:
-    """Write the input views once per session and data folder as Parquet
-    tables under the checkpoint folder -- the extract's input tables as a
-    database would hold them -- and return their folder."""
-    from ..session import ensure_checkpoint_dir
-
-    from ..session import app_id
-
-    key = (app_id(spark), os.path.abspath(sf_dir), _stamp(sf_dir))
-    folder = _PREPARED.get(key)
-    if folder:
-        return folder
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/inputs/{uuid.uuid4().hex}"
-    views = input_views(spark, sf_dir)
-    for f in Inputs.__dataclass_fields__:
-        getattr(views, f).write.mode("overwrite").parquet(f"{folder}/{f}")
-    _PREPARED[key] = folder
-    return folder
-
-
-def load_inputs(spark: SparkSession, sf_dir: str, prepared: bool = True) -> Inputs:
-    """The extract's input tables.  By default they are the prepared Parquet
-    tables (built on first use in the session); ``prepared=False`` gives the
-    lazy views over the driver's tables instead."""
-    if not prepared:
-        return input_views(spark, sf_dir)
-    folder = prepare_inputs(spark, sf_dir)
-    inputs = _READ.get(folder)
-    if inputs is None:
-        inputs = Inputs(**{f: spark.read.parquet(f"{folder}/{f}") for f in Inputs.__dataclass_fields__})
-        _READ[folder] = inputs
-    return inputs
-
-
-# prepared folder -> its tables as DataFrames (plans only, no data held)
-_READ: dict[str, Inputs] = {}
+def load_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The extract's input tables over the driver's tables (any path that Spark reads), nothing copied."""
+    return input_views(spark, sf_dir)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import read_table
+
 # The 21-column extract, typed (never inferred).
 EXTRACT_SCHEMA = T.StructType([
     T.StructField("ORGCODEPROVIDER", T.StringType()),
@@ -34,23 +36,18 @@ EXTRACT_SCHEMA = T.StructType([
     T.StructField("COUNT", T.LongType()),
 ])
 
-WORKING_DAYS_SCHEMA = T.StructType([
-    T.StructField("calendar_month", T.StringType()),
-    T.StructField("working_days", T.IntegerType()),
-])
-
-
-def extract_file_tag(extract: DataFrame) -> str:
+def extract_file_tag(rows: DataFrame) -> str:
     """``MMYYYY`` of the latest extract month (one aggregated value)."""
-    m = extract.agg(F.max("CALENDAR_MONTH")).first()[0]
+    m = rows.agg(F.max("CALENDAR_MONTH")).first()[0]
     return f"{m[5:7]}{m[0:4]}" if m else "000000"
 
 
-def write_extract(extract: DataFrame, folder: str, fmt: str = "csv") -> str:
+def write_extract(extract: DataFrame, folder: str, fmt: str = "csv", tag: str | None = None) -> str:
     """Write the extract as ``<folder>/extract_<MMYYYY>``: pipe-delimited text
     with a header (the hand-over format), or Parquet.  Written by many tasks
-    in parallel (a folder of part files), never through the driver."""
-    path = f"{folder.rstrip('/')}/extract_{extract_file_tag(extract)}"
+    in parallel (a folder of part files), never through the driver.  ``tag``
+    names the month where the caller knows it."""
+    path = f"{folder.rstrip('/')}/extract_{tag or extract_file_tag(extract)}"
     w = extract.write.mode("overwrite")
     if fmt == "csv":
         w.option("sep", "|").option("header", True).csv(path)
@@ -70,21 +67,18 @@ def read_extract(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 def read_working_days_csv(spark: SparkSession, path: str) -> DataFrame:
     """Working days per month from CSV: the first two columns only."""
-    raw = spark.read.option("header", True).csv(path)
-    first_two = raw.columns[:2]
-    return raw.select(F.col(first_two[0]).alias("calendar_month"),
-                      F.col(first_two[1]).cast("int").alias("working_days"))
+    return read_table(spark, "working_days", path, "csv")
 
 
 def write_published(published: DataFrame, folder: str, run_date: dt.date | None = None) -> dict:
     """Date-stamped Parquet table plus one CSV for small-number review.
 
-    The CSV is a single sorted file: the published table is small by
-    construction (groups x months), so ``coalesce(1)`` concerns the
-    aggregated result only, never the input facts."""
+    The CSV is written from the stored table, as part files in range order."""
     stamp = (run_date or dt.date.today()).isoformat()
     base = f"{folder.rstrip('/')}/aggregation{stamp}"
     published.write.mode("overwrite").parquet(f"{base}.parquet")
-    (published.orderBy("geo_lvl", "period", "prim_lvl", "activity_year", "activity_month")
-     .coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}.csv"))
+    order = ["geo_lvl", "period", "prim_lvl", "activity_year", "activity_month"]
+    stored = published.sparkSession.read.schema(published.schema).parquet(f"{base}.parquet")
+    (stored.repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode("overwrite").option("header", True).csv(f"{base}.csv"))
     return {"parquet": f"{base}.parquet", "csv": f"{base}.csv"}

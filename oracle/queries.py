@@ -22,31 +22,16 @@ _ICB = (f"replace(CASE WHEN ({_ICB0}) IN ({_in(fv.NON_ICB_AREAS)}) THEN 'Postcod
         f"ELSE ({_ICB0}) END, ' Integrated Care Board', '')")
 
 # Extra CTEs used only by operator queries.
-STAGES["core_pairs"] = f"""
-SELECT DISTINCT e.attendid, e.radiotherapyepisodeid, e.patientid, e.orgcodeprovider, e.treatmentstartdate,
- p.prescriptionid, p.rtprescribeddose, p.prescribedfractions, p.rttreatmentmodality, p.rttreatmentregion,
- {_chunk_case('e.treatmentstartdate')} AS chunk_id
-FROM at_episodes e
-JOIN at_prescriptions p ON e.attendid = p.attendid AND e.orgcodeprovider = p.orgcodeprovider
- AND e.radiotherapyepisodeid = p.radiotherapyepisodeid AND e.patientid = p.patientid
-JOIN at_exposures x ON p.orgcodeprovider = x.orgcodeprovider AND p.attendid = x.attendid
- AND p.radiotherapyepisodeid = x.radiotherapyepisodeid AND p.patientid = x.patientid
- AND p.prescriptionid = x.prescriptionid
-LEFT JOIN dup ON dup.radiotherapyepisodeid = e.radiotherapyepisodeid
- AND dup.treatmentstartdate = e.treatmentstartdate AND dup.orgcodeprovider = e.orgcodeprovider
- AND dup.patientid = e.patientid
-WHERE e.treatmentstartdate BETWEEN DATE '{P0}' AND DATE '{P1}'
- AND (p.rttreatmentmodality = '05' OR x.machineid IN ({_in(fv.ADMITTED_MACHINES)}))
- AND substr(e.radiotherapydiagnosisicd,1,3) IN ({_in(fv.ICD_WHITELIST)})
- AND dup.radiotherapyepisodeid IS NULL"""
+STAGES["core_pairs"] = """
+SELECT DISTINCT t.attendid, t.radiotherapyepisodeid, t.patientid, t.orgcodeprovider, t.treatmentstartdate, t.chunk_id,
+ d.prescriptionid, d.rtprescribeddose, d.prescribedfractions, d.rttreatmentmodality, d.rttreatmentregion
+FROM attendance t JOIN delivered d USING (attendid, radiotherapyepisodeid, patientid, orgcodeprovider)"""
 
 STAGES["ep_patient"] = """
 SELECT e.*, pa.birthdatebest, pa.sex,
  CAST(trunc(datediff('day', pa.birthdatebest, e.treatmentstartdate) / 365.25) AS INTEGER) AS tx_age
 FROM at_episodes e LEFT JOIN at_patient pa ON e.patientid = pa.patientid"""
 
-STAGES["rank1"] = "SELECT * FROM a3 WHERE rn_address = 1"
-
 STAGES["eng_months"] = "SELECT * FROM eng_complete"
 
 STAGES["to_gender"] = f"""
@@ -114,7 +99,7 @@ SELECT DISTINCT cancertype, min_intent, CAST(max_dose AS DOUBLE) AS max_dose, ma
  {_schedule_group_case()} AS schedule_group FROM rank1""",
     "provider_patch": """
 SELECT ORGCODEPROVIDER, COUNTRY, PROVIDER_NAME, RT_NETWORK_NAME, CANCER_ALLIANCE_OLD, CANCER_ALLIANCE_NEW,
- count(*) AS n_rows FROM patched GROUP BY ALL""",
+ count(*) AS n_rows FROM patched_handover GROUP BY ALL""",
     "month_parts": f"""
 SELECT {_day("CAST(strptime(CALENDAR_MONTH || '/01', '%Y/%m/%d') AS DATE)")} AS calendar_month,
  CAST(substr(CALENDAR_MONTH, 1, 4) AS INTEGER) AS EPI_YEAR, CAST(substr(CALENDAR_MONTH, 6, 2) AS INTEGER) AS EPI_MONTH,
@@ -148,11 +133,8 @@ FROM at_prescriptions p WHERE EXISTS (
 SELECT attendid, radiotherapyepisodeid, radiotherapydiagnosisicd FROM at_episodes
 WHERE substr(radiotherapydiagnosisicd,1,3) IN ({_in(fv.ICD_WHITELIST)})""",
     "drop_duplicate_episodes": """
-SELECT e.attendid, e.radiotherapyepisodeid, e.patientid, e.orgcodeprovider
-FROM at_episodes e LEFT JOIN dup ON dup.radiotherapyepisodeid = e.radiotherapyepisodeid
- AND dup.treatmentstartdate = e.treatmentstartdate AND dup.orgcodeprovider = e.orgcodeprovider
- AND dup.patientid = e.patientid
-WHERE dup.radiotherapyepisodeid IS NULL""",
+SELECT attendid, radiotherapyepisodeid, patientid, orgcodeprovider FROM at_episodes ANTI JOIN dup
+USING (radiotherapyepisodeid, treatmentstartdate, patientid, orgcodeprovider)""",
     "duplicate_episode_ids": "SELECT radiotherapyepisodeid FROM dup_ids",
     "filter_adult": f"""
 SELECT DISTINCT radiotherapyepisodeid, orgcodeprovider AS mapped_provider,
@@ -225,18 +207,23 @@ SELECT DISTINCT RADIOTHERAPYEPISODEID, CANCERTYPE, ORGCODEPROVIDER, CALENDAR_MON
     "episode_month_recount": """
 SELECT DISTINCT RADIOTHERAPYEPISODEID, PROVIDER_NAME, CANCERTYPE, CALENDAR_MONTH, "COUNT" FROM extract""",
     "chunked_equals_single": "SELECT * FROM extract",
+    "extract_from_raw_tables": "SELECT * FROM extract",
     "extract_file_roundtrip": "SELECT * FROM extract",
     "published_file_roundtrip": "SELECT * FROM published",
     "qa_value_profile": None,  # filled below
     "qa_unmatched_months": f"""
 SELECT DISTINCT {_day('MONTH_DATE')} AS calendar_month, WORKING_DAYS AS working_days FROM with_wd WHERE EPI_YEAR IS NULL""",
     "qa_low_counts": "SELECT * FROM published WHERE episodeCount < 5",
+    "qa_published_profile": "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM published GROUP BY ALL"
+        for c in ("prim_val", "prim_lvl", "wd")),
+    "qa_unknown_deprivation": "SELECT * FROM published WHERE prim_lvl = 'Deprivation' AND prim_val = 'Unknown'",
     "qa_level_slice": "SELECT * FROM published WHERE prim_lvl IN ('Deprivation', 'Treatment intent')",
 }
 
 _PROFILED = ["EPI_YEAR", "EPI_MONTH", "CALENDAR_MONTH", "INTENT", "AGEGROUP", "GENDER", "ETHNICITY",
              "DEPRIVATION", "ICB", "CANCERTYPE", "FRACTIONATION_CATEGORY", "DOSE_FRACTIONATION_SCHEDULES",
-             "CANCER_ALLIANCE_NEW", "WORKING_DAYS"]
+             "CANCER_ALLIANCE_NEW", "WORKING_DAYS", "SEX", "ETHNICITYNAME", "IMD19_QUINTILE_LSOAS", "ICB_HB"]
 
 
 def _profile_value(c: str) -> str:
