@@ -7,8 +7,9 @@ fixed windows of ``length`` tokens end.  Documents follow one another in the
 order they are stored, so no row is shuffled; every sequence but the last is
 full, and only the last is padded.
 
-Word-by-word encoding is remembered per task (a bounded table), which is exact
-as white space always ends a pre-token of the word vocabulary.
+Words and pre-tokens once coded are remembered per worker (in bounded tables),
+which is exact as white space always ends a pre-token of the word vocabulary
+and pre-tokens are coded independently.
 
 Defined cases: a null or empty text is the end id alone; repeated rows and ids
 are packed as they come; an empty table gives no pieces; extra columns are not
@@ -18,6 +19,8 @@ read.  ``piece_ids`` keeps each piece's ids for writing the sequences.
 from __future__ import annotations
 
 import zlib
+from array import array
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from .common import prefix_offsets, read_table, without
 
 SEQUENCE = 4096
 END_ID = 2
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 
 
 def default_vocabulary() -> str:
@@ -38,40 +41,83 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The pre-tokens of the vocabulary's own splitting rule.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+_BEYOND = 0x250
+
+
 class WordEncoder:
-    """Ids of texts, by a table of the words (runs without ASCII white space) seen so far."""
+    """Ids of texts, by tables of the words (runs without ASCII white space) and of the pre-tokens seen so far.
+
+    Words of Latin letters are lower-cased and split into pre-tokens here, as
+    the vocabulary's normaliser and splitter would, and new pre-tokens are
+    coded many at a time: the last id of a pre-token, and no other, ends a word.
+    All other words (and the Latin letter that lower-cases differently) are
+    coded whole.
+    """
 
     _loaded: dict[str, WordEncoder] = {}
 
     def __init__(self, path: str):
+        import os
+
+        import regex
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.table: dict[str, bytes] = {}
+        self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = self.plain.encode_special_tokens = True
+        self.plain.normalizer = None
+        self.ends = np.zeros(self.whole.get_vocab_size(), dtype=bool)
+        for token, number in self.whole.get_vocab().items():
+            self.ends[number] = token.endswith("</w>")
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.split = regex.compile(PIECES).findall
 
     @classmethod
     def load(cls, path: str) -> WordEncoder:
         if path not in cls._loaded:
-            import os
-
-            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
         split = [t.split() if t else [] for t in texts]
-        table = self.table
-        new = set().union(*split).difference(table) if split else set()
-        if new:
-            if len(table) + len(new) > REMEMBERED:
-                table.clear()
-                new = set().union(*split)
-            words = list(new)
-            for word, coded in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-                table[word] = np.array(coded.ids, dtype="<u4").tobytes()
-        return [b"".join([table[w] for w in words]) for words in split]
+        self._learn(set(filterfalse(self.words.__contains__, chain.from_iterable(split))))
+        known = self.words.__getitem__
+        return [b"".join(map(known, words)) for words in split]
+
+    def _learn(self, words: set[str]) -> None:
+        parts, others = {}, []
+        for word in words:
+            if word.isascii() or ord(max(word)) < _BEYOND and "\u0130" not in word:
+                parts[word] = self.split(word.lower())
+            else:
+                others.append(word)
+        new = list(set(filterfalse(self.pieces.__contains__, chain.from_iterable(parts.values()))))
+        for a in range(0, len(new), 4000):
+            self._code(new[a:a + 4000])
+        known = self.pieces.__getitem__
+        for word, part in parts.items():
+            self.words[word] = known(part[0]) if len(part) == 1 else b"".join(map(known, part))
+        for word, coded in zip(others, self.whole.encode_batch_fast(others, add_special_tokens=False)):
+            self.words[word] = array("I", coded.ids).tobytes()
+
+    def _code(self, pieces: list[str]) -> None:
+        ids = np.array(self.plain.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(pieces):
+            raw, stops = ids.tobytes(), (stops * 4).tolist()
+            self.pieces.update(zip(pieces, (raw[a:b] for a, b in zip([0, *stops], stops))))
+        else:  # a vocabulary that marks word ends in another way
+            for piece, coded in zip(pieces, self.plain.encode_batch_fast(pieces, add_special_tokens=False)):
+                self.pieces[piece] = array("I", coded.ids).tobytes()
 
 
 def _batches_of(texts: list, most: int = 1 << 20):
