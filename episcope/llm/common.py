@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of ``sf_dir``.  Python workers that share the driver's folders import this package from there
+    (elsewhere install it, or pass it with --py-files)."""
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if _ROOT not in path.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{_ROOT}:{path}".rstrip(":")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -5,7 +5,7 @@ grows a decision list by sequential covering: each rule is a conjunction of
 thresholds (``feature >= t`` or ``feature <= t``) grown by FOIL gain on two
 thirds of the labelled rows, pruned from the end on the last third, and
 accepted only if it is precise there; the rows it covers are then set aside.
-Thresholds come from quantiles; all counts are Spark aggregations over the
+Thresholds come from quantiles and go midway between the rows on either side; all counts are Spark aggregations over the
 binned labelled rows, and only (feature, bin) counts reach the driver (a few
 thousand numbers, whatever the input's size).  ``verdict`` turns the list into
 one ordered CASE expression; rows that no rule rejects are kept.
@@ -180,14 +180,15 @@ def learn(labelled: DataFrame, max_rules: int = 12, max_conditions: int = 3, pre
     if not any(edges.values()):
         return []
     # Bin k holds the values from edge k-1 up to edge k (edge k itself in bin k + 1).
-    bins = [_reached(_value(f), edges[f]).alias(f) for f in FEATURES]
+    bins = [_reached(_value(f), edges[f]).alias(f) for f in FEATURES] + [_value(f).alias(f"{f}__x") for f in FEATURES]
     fold = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(3))
     binned = materialize(rows.select(*bins, (F.col("quality") == 0).alias("bad"), (fold == 0).alias("prune")), "binned")
 
     def met(conditions) -> Column:
         out = F.lit(True)
-        for f, at_least, k in conditions:  # values >= edge k are in bins > k; values < edge k in bins <= k
-            out = out & (F.col(f) > k if at_least else F.col(f) <= k)
+        for c in conditions:
+            x = F.col(f"{c.feature}__x")
+            out = out & (x >= c.threshold if c.at_least else x <= c.threshold)
         return out
 
     def table(where: Column) -> dict:
@@ -199,22 +200,39 @@ def learn(labelled: DataFrame, max_rules: int = 12, max_conditions: int = 3, pre
         return counts
 
     def best(where: Column, p0: int, n0: int):
-        """The condition of greatest FOIL gain: ((gain, condition), bad rows met, good rows met)."""
-        top = (0.0, None, 0, 0)
-        if not p0:
-            return top
+        """The condition of greatest FOIL gain, with the bad and good rows it leaves, or None."""
+        top, tied = 1e-9, []
         now = math.log2(p0 / (p0 + n0))
         for f, by in sorted(table(where).items()):
             for at_least in (True, False):
                 p = n = 0
-                order = range(len(edges[f]), 0, -1) if at_least else range(0, len(edges[f]))
-                for k in order:
+                # Rows in bins >= k have values >= edge k - 1; rows in bins <= k have values < edge k.
+                for k in range(len(edges[f]), 0, -1) if at_least else range(0, len(edges[f])):
                     good, bad = by.get(k, (0, 0))
                     p, n = p + bad, n + good
                     gain = p * (math.log2(p / (p + n)) - now) if p else 0.0
-                    if gain > top[0] + 1e-9:
-                        top = (gain, (f, at_least, k - 1 if at_least else k), p, n)
-        return top
+                    if gain > top + 1e-9:
+                        top, tied = gain, []
+                    if bad and gain > top - 1e-9:
+                        tied.append((f, at_least, edges[f][k - 1] if at_least else edges[f][k], p, n))
+        if not tied:
+            return None
+        # Of equal gains the widest gap between the rows that meet it and the rest wins; the threshold goes midway.
+        near = []
+        for j, (f, at_least, edge, _, _) in enumerate(tied):
+            x = F.col(f"{f}__x")
+            inside = x >= edge if at_least else x < edge
+            near += [(F.min if at_least else F.max)(F.when(inside, x)).alias(f"in{j}"), (F.max if at_least else F.min)(F.when(~inside, x)).alias(f"out{j}")]
+        found = binned.where(where & ~F.col("prune")).agg(*near).first()
+
+        def gap(j: int) -> float:
+            a, b = found[f"in{j}"], found[f"out{j}"]
+            return 0.0 if b is None else abs(a - b) / (abs(a) + abs(b) + 1e-12)
+
+        j = max(range(len(tied)), key=lambda j: (gap(j), -j))
+        f, at_least, _, p, n = tied[j]
+        a, b = found[f"in{j}"], found[f"out{j}"]
+        return Condition(f, at_least, a if b is None else (a + b) / 2), p, n
 
     rules, left = [], F.lit(True)
     while len(rules) < max_rules:
@@ -222,11 +240,11 @@ def learn(labelled: DataFrame, max_rules: int = 12, max_conditions: int = 3, pre
         p, n = int(start[0] or 0), int(start[1] or 0) - int(start[0] or 0)
         grown: list = []
         while len(grown) < max_conditions and n > 0 and p > 0:
-            gain, condition, p2, n2 = best(left & met(grown), p, n)
-            if condition is None or (grown and n2 >= n):
+            step_ = best(left & met(grown), p, n)
+            if step_ is None or (grown and step_[2] >= n):
                 break
+            condition, p, n = step_
             grown.append(condition)
-            p, n = p2, n2
         if not grown:
             break
         held = binned.where(left & F.col("prune")).agg(*[
@@ -237,9 +255,7 @@ def learn(labelled: DataFrame, max_rules: int = 12, max_conditions: int = 3, pre
         bad, good = held[f"x{k}1"] or 0, held[f"x{k}0"] or 0
         if bad + good < least_rows or bad < precision * (bad + good):
             break
-        # Bins <= k hold the values below edge k: the greatest double below it is the threshold.
-        rules.append(Rule(tuple(Condition(f, at_least, edges[f][j] if at_least else math.nextafter(edges[f][j], -math.inf))
-                                for f, at_least, j in grown[:k]), bad + good, good))
+        rules.append(Rule(tuple(grown[:k]), bad + good, good))
         left = left & ~met(grown[:k])
     return rules
 
