@@ -33,6 +33,7 @@ are not read.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass
 
@@ -48,7 +49,7 @@ DECAY, ORDER, POWER = 0.7, 3, 3
 LANDMARKS, STEMS = 32, (4, 8)
 MAX_ROWS, MAX_SENTENCES = 6000, 8
 WINDOW = 24
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 # ---------------------------------------------------------------- the kernel
@@ -65,35 +66,43 @@ def subsequence_kernel(strings: list[str], others: list[str], decay: float = DEC
         return out
     wide = max(map(len, others))
     right = _codes(others, wide)
-    right = np.where(right == 0, np.uint32(0xFFFFFFFF), right)  # padding matches nothing
     step = np.arange(wide)
     decays = np.where(step[None, :] >= step[:, None], decay ** (step[None, :] - step[:, None]), 0).astype(np.float32)
+    # Per character its matches in the others (nothing for a character that none has), and those decayed.
+    letters = np.unique(right[right > 0])
+    same = np.concatenate([(right[None] == letters[:, None, None]) * np.float32(decay * decay), np.zeros((1, *right.shape))]).astype(np.float32)
+    faded = same @ decays
     sizes = np.array([len(s) for s in strings])
     for size in np.unique(sizes):
         if size < ORDER:
             continue
         rows = np.flatnonzero(sizes == size)
-        for a in range(0, len(rows), 512):
-            part = rows[a:a + 512]
+        for a in range(0, len(rows), 256):
+            part = rows[a:a + 256]
             left = _codes([strings[k] for k in part], int(size))
-            one = np.zeros((len(part), len(others), wide), dtype=np.float32)  # order 1 and 2, shifted by a place
+            at = np.minimum(np.searchsorted(letters, left), len(letters) - 1)
+            at = np.where(letters[at] == left, at, len(letters))
+            one = np.zeros((len(part), len(others), wide), dtype=np.float32)  # orders 1 and 2
             two, total = np.zeros_like(one), np.zeros((len(part), len(others)), dtype=np.float32)
             for i in range(size):
-                same = (left[:, i, None, None] == right[None]).astype(np.float32) * np.float32(decay * decay)
-                total += (same[:, :, 1:] * two[:, :, :-1]).sum(axis=2)
-                grown = np.zeros_like(same)
-                grown[:, :, 1:] = same[:, :, 1:] * one[:, :, :-1]
+                now = same[at[:, i]]
+                total += np.einsum("abc,abc->ab", now[:, :, 1:], two[:, :, :-1])
+                now[:, :, 1:] *= one[:, :, :-1]
+                now[:, :, 0] = 0
                 two *= decay
-                two += grown @ decays
+                two += (now.reshape(-1, wide) @ decays).reshape(now.shape)
                 one *= decay
-                one += same @ decays
+                one += faded[at[:, i]]
             out[part] = total
     return out
 
 
+_NO_LETTER = re.compile(r"[\W_]+")
+
+
 def unit(token: str) -> str:
     """A word as the kernel reads it: composed, letters and digits only, ``^`` in front."""
-    kept = "".join(c for c in unicodedata.normalize("NFC", token) if c.isalnum())
+    kept = _NO_LETTER.sub("", unicodedata.normalize("NFC", token))
     return "^" + kept if kept else ""
 
 
