@@ -267,7 +267,7 @@ def labelled_statistics(stats: DataFrame, labels: DataFrame) -> DataFrame:
 def quality_filter(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """``docs`` less the rejected rows (columns unchanged), and the learned rules."""
     stats = statistics(docs.select("doc_id", "text"))
-    rules = learn(labelled_statistics(stats, labels))
+    rules = learn(materialize(labelled_statistics(stats, labels), "statistics"))
     keep = statistics(docs.select(*docs.columns, F.struct(*docs.columns).alias("__row"))).where(verdict(rules))
     return keep.select("__row.*"), rules
 
