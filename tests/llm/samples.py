@@ -1,8 +1,13 @@
 """Small documents with the awkward cases: nulls, empty and long texts, copies, near copies, shared passages."""
 
+import os
 import random
 import re
 
+# Python workers import the package from here, wherever pytest was started.
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+os.environ["PYTHONPATH"] = f"{_ROOT}:{os.environ.get('PYTHONPATH', '')}".rstrip(":")
+
 WORDS = [a + b + c for a in "bdfgklmnprst" for b in ("a", "e", "o", "an", "ir") for c in ("", "lo", "mi", "t")]
 SCHEMA = "doc_id long, text string"
 
