@@ -8,8 +8,10 @@ order they are stored, so no row is shuffled; every sequence but the last is
 full, and only the last is padded.
 
 Words and pre-tokens once coded are remembered per worker (in bounded tables),
-which is exact as white space always ends a pre-token of the word vocabulary
-and pre-tokens are coded independently.
+which is exact as the white space of the vocabulary's own rule always ends a
+pre-token, and pre-tokens are coded independently.  Texts that hold an added
+token of the vocabulary (``<|endoftext|>``) are coded whole by the tokenizer as
+it is, which gives that token's own id.
 
 Defined cases: a null or empty text is the end id alone; repeated rows and ids
 are packed as they come; an empty table gives no pieces; extra columns are not
@@ -47,7 +49,7 @@ _BEYOND = 0x250
 
 
 class WordEncoder:
-    """Ids of texts, by tables of the words (runs without ASCII white space) and of the pre-tokens seen so far.
+    """Ids of texts, by tables of the words (runs without the vocabulary's white space) and of the pre-tokens seen so far.
 
     Words of Latin letters are lower-cased and split into pre-tokens here, as
     the vocabulary's normaliser and splitter would, and new pre-tokens are
@@ -67,14 +69,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = self.plain.encode_special_tokens = True
         self.plain.normalizer = None
+        self.added = [token.content for token in self.whole.get_added_tokens_decoder().values()]
         self.ends = np.zeros(self.whole.get_vocab_size(), dtype=bool)
         for token, number in self.whole.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.split = regex.compile(PIECES).findall
+        self.solid = regex.compile(r"\S+").findall
 
     @classmethod
     def load(cls, path: str) -> WordEncoder:
@@ -88,10 +91,19 @@ class WordEncoder:
             self.words.clear()
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        split = [t.split() if t else [] for t in texts]
+        whole = [k for k, t in enumerate(texts) if t and any(a in t for a in self.added)]
+        apart = set(whole)
+        split = [self._words(t) if t and k not in apart else [] for k, t in enumerate(texts)]
         self._learn(set(filterfalse(self.words.__contains__, chain.from_iterable(split))))
         known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        out = [b"".join(map(known, words)) for words in split]
+        for k, coded in zip(whole, self.whole.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False)):
+            out[k] = array("I", coded.ids).tobytes()
+        return out
+
+    def _words(self, text: str) -> list[str]:
+        """The runs without white space; ``str.split`` would also drop U+001C to U+001F, which have ids."""
+        return self.solid(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
     def _learn(self, words: set[str]) -> None:
         parts, others = {}, []

@@ -81,6 +81,30 @@ def test_forgetting_words_changes_nothing():
         P.REMEMBERED = before
 
 
+def test_ids_equal_the_unmodified_tokenizer():
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(P.default_vocabulary())
+    texts = ["a\x1cb", "\x1e", "a \x1c\x1d\x1e\x1f b\x1f", "\x1cé 漢\x1d字\u3000x", "a\x85b\xa0c\u2028d\x0be", "hello<|endoftext|>world",
+             "<|startoftext|>a\x1d <|endoftext|>", "<|EndOfText|> <|endoftext|", "İ<|endoftext|>\u0301é"]
+    # Every code point of the letters' own splitting rule, and each that Python or the vocabulary may take for white space.
+    points = [*range(0x260), *(c for c in range(0x260, 0x110000) if chr(c).isspace()), 0x180E, 0x200B, 0x2060, 0xFEFF]
+    texts += [f for c in map(chr, points) for f in (c, f"a{c}b", f"1{c}{c}!{c}'s")]
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    got = P.WordEncoder(P.default_vocabulary()).encode(texts)
+    assert [t for t, g, w in zip(texts, got, want) if g != w] == []
+
+
+def test_packing_keeps_separators_and_special_tokens(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(P.default_vocabulary())
+    rows = [(1, "a\x1cb"), (2, "\x1e"), (3, "hello<|endoftext|>world"), (4, "plain words")]
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in P.pack(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()}
+    ids = {i: np.array([*whole.encode(t, add_special_tokens=False).ids, 2], dtype="<u4") for i, t in rows}
+    assert got == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in ids.items()}
+
+
 def test_sharding_law_and_slots(spark):
     rows = [(i, f"t{i % 50}") for i in range(4000)] + [(None, None), (7, "é"), (7, "é")]
     tree = S.even_tree()
