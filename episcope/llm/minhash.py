@@ -33,7 +33,8 @@ intersects the full shingle sets of both texts.
 Nulls, empty texts: no shingle, linked with nothing, a component of their own.
 Rows that repeat an id count as one document with the greatest text of that
 id (one row per id comes back from ``near_duplicates``); rows with a null id
-come back with a null component and are kept.  An empty table gives an empty
+come back with a null component and are kept: each by itself with
+``null_rows``, as in the query, else as one row.  An empty table gives an empty
 result.  Extra input columns are not read.
 """
 
@@ -252,8 +253,11 @@ def intersections(va: np.ndarray, ia: np.ndarray, vb: np.ndarray, ib: np.ndarray
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept."""
+                    text_col: str = "text", bands: int = BANDS, rows: int = ROWS, null_rows: bool = False) -> DataFrame:
+    """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept.
+
+    With ``null_rows`` every row without an id is a document of its own; else they fold into one row.
+    """
     every = materialize(sketches(docs, words, id_col, text_col, bands, rows), "sketches")
     solid = F.col("n_shingles") > 0
     same = ["n_shingles", "set_a", "set_b"]
@@ -279,12 +283,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     final = materialize(components(links.unionByName(more)), "components")
 
     rep = classes.join(final, classes["rep"] == final["node"], "left").select(*same, F.coalesce("comp", "rep").alias("comp"))
-    one = every.groupBy("doc_id").agg(F.max(F.struct(*same)).alias("s")).select("doc_id", "s.*")
+    named = every.where(F.col("doc_id").isNotNull()) if null_rows else every
+    one = named.groupBy("doc_id").agg(F.max(F.struct(*same)).alias("s")).select("doc_id", "s.*")
     out = one.join(rep, same, "left")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    out = out.select("doc_id", "n_shingles", "component_id",
+                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    if not null_rows:
+        return out
+    nameless = every.where(F.col("doc_id").isNull())
+    return out.unionByName(nameless.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80, null_rows=True)

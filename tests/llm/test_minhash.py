@@ -6,7 +6,7 @@ import numpy as np
 
 from episcope.llm import minhash as M
 from episcope.llm.graph import components
-from samples import SCHEMA, documents, words
+from samples import SCHEMA, documents, folder, words
 
 
 def brute(rows, k, percent):
@@ -51,6 +51,13 @@ def test_nulls_repeated_ids_and_empty_tables(spark):
     assert M.near_duplicates(df.where("doc_id > 99"), 4).count() == 0
 
 
+def test_the_query_gives_each_row_without_id_its_own_result(spark, tmp_path):
+    texts = [(None, "a b c d e f g"), (None, "a b c d e f g"), (None, "a b c d e"), (None, None), (1, "a b c d e f g"), (1, "a b"), (2, "A b c d e f g")]
+    got = M.op2_minhash_near_dedup(spark, folder(spark, tmp_path, [(i, t, "en", "s", 0) for i, t in texts])).collect()
+    want = [(None, 4, None, True)] * 2 + [(None, 2, None, True), (None, 0, None, True), (1, 4, 1, True), (2, 4, 1, False)]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_every_coordinate_fills_and_estimates(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 400, dtype=np.uint64)
