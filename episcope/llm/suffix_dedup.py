@@ -1,22 +1,17 @@
-"""Suffix dedup of bytes: difference-cover blockwise construction.
-
-Suffixes are compared by their first 100 bytes.  The cover sample is the byte
-positions that fall on a perfect difference cover modulo 73 (9 residues, 12 %
-of all positions).  First the sample is ranked: the 28-byte runs at sample
-positions are named, the names sorted one bucket at a time, and only the names
-that occur again keep a rank.  Two suffixes that tie for 100 bytes have a
-common sample position within 73 bytes, and their sample runs there must be
-equal; so a suffix without a ranked sample run ahead of it can tie with no
-other and is left out of the sort.  Ranks of the 64-byte runs around the ranked
-sample positions sharpen this.  The remaining suffixes are dealt into
-buckets and sorted one bucket at a time; long ties (equal for 100 bytes) are
-resolved by name, not by comparing bytes, so a task holds one bucket's names
-and never the text of other documents.
-
-Names are 64-bit hashes in place of lexicographic ranks: removal only needs
-which suffixes tie for 100 bytes and which of them starts first, and the order
-among different suffixes never shows in the result.  See ``repeats`` for the
-plan and for nulls, ties, repeated rows and clashing columns.
+"""Dedup of repeated 100-byte passages: difference-cover anchors on bytes.
+
+This is the method of ``substring_dedup`` with bytes as units, not a suffix
+sort: nothing is ranked, and no suffix is compared or ordered.  The anchors are
+the 28-byte runs at the positions on a perfect difference cover modulo 73 (9
+residues, 12 % of all positions).  Two equal windows of 100 bytes share an
+equal anchor, so a window without an anchor that occurs again is no repeat.
+64-byte runs around the repeated anchors sharpen this.  The remaining windows
+are dealt into buckets as 64-bit hashes, and a bucket finds the first of each;
+a task holds one bucket's hashes and never the text of other documents.
+
+Removal only needs which windows are equal and which of them starts first; the
+order among different suffixes never shows in the result.  See ``repeats`` for
+the plan and for nulls, ties, repeated rows and clashing columns.
 """
 
 from __future__ import annotations
