@@ -8,7 +8,9 @@ and single letters that follow one another are read as one word.  Long words
 are compared in overlapping windows; no text is cut.
 
 **Landmarks.**  The word beginnings whose document frequency is most tied to
-the label, counted by Spark over the training rows.
+the label, counted by Spark over the training rows.  Their number is a parameter
+of the model; no beginning enters whose kernel with ``VARIANTS`` earlier ones
+is ``NEAR`` or more (of 1), so that variants of one stem leave room for others.
 
 **Features.**  ``s(sentence, landmark)`` is the greatest kernel value of its
 words, over the landmark's own, cubed to sharpen it; the Nystroem map multiplies
@@ -46,7 +48,8 @@ from pyspark.sql import types as T
 from .common import read_table
 
 DECAY, ORDER, POWER = 0.7, 3, 3
-LANDMARKS, STEMS = 32, (4, 8)
+LANDMARKS, STEMS = 32, (4, 13)
+NEAR, VARIANTS = 0.5, 2
 MAX_ROWS, MAX_SENTENCES = 6000, 8
 WINDOW = 24
 REMEMBERED = 500_000
@@ -253,10 +256,13 @@ def choose_landmarks(rows: DataFrame, most: int = LANDMARKS) -> list[str]:
     lift = (F.col("t") + 0.5) / (F.col("c") + 0.5) * (((total.c or 0) + 1) / ((total.t or 0) + 1))
     gain = F.col("t") * F.log(lift)
     best = counts.where("t >= 3").where(lift >= 4).orderBy(gain.desc(), F.length("stem").desc(), "stem").limit(4000).collect()
-    chosen: list[str] = []
-    for r in best:
-        if len(chosen) < most and not any(r.stem.startswith(c) or c.startswith(r.stem) for c in chosen):
-            chosen.append(r.stem)
+    stems_ = [r.stem for r in best]
+    own = np.concatenate([np.diag(subsequence_kernel(p, p)) for p in (stems_[a:a + 64] for a in range(0, len(stems_), 64))] or [np.zeros(0)])
+    near, chosen = np.zeros(len(stems_), dtype=np.int64), []
+    for k, stem in enumerate(stems_):
+        if len(chosen) < most and near[k] < VARIANTS and not any(stem.startswith(c) or c.startswith(stem) for c in chosen):
+            chosen.append(stem)
+            near += subsequence_kernel(stems_, [stem])[:, 0] >= NEAR * np.sqrt(own * own[k])
     return chosen
 
 

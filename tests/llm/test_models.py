@@ -60,6 +60,16 @@ def test_toxicity_held_out_and_defined_cases(spark, toxic_folder):
     assert got[None].held_out is False
 
 
+def test_variants_of_a_stem_leave_room_for_other_landmarks(spark):
+    variants = [f"réeux{a}{b}" for a in "abcdefghij" for b in "klmn"]
+    rows = [(k, 1, f"{v} bada") for k, v in enumerate(variants * 8)] + [(1000 + k, 1, "achliche bada") for k in range(5)]
+    rows += [(2000 + k, 0, f"achlichs bada {v[:2]}") for k, v in enumerate(variants * 20)]
+    got = X.choose_landmarks(spark.createDataFrame(rows, "doc_id long, toxic int, text string"), 3)
+    assert "^achliche" in got
+    got = X.choose_landmarks(spark.createDataFrame(rows + [(3000 + k, 0, "réeux") for k in range(2000)], "doc_id long, toxic int, text string"), 8)
+    assert "^achliche" in got and sum(g.startswith("^réeux") for g in got) <= X.VARIANTS + 1
+
+
 def test_gapped_insults_and_clean_texts(spark, toxic_folder):
     docs = spark.read.parquet(f"{toxic_folder}/documents.parquet")
     model = X.train(docs, spark.read.parquet(f"{toxic_folder}/labels.parquet"))
