@@ -6,6 +6,7 @@ from .byte_bpe import op7_byte_bpe
 from .minhash import op2_minhash_near_dedup
 from .packing import op9_packing
 from .page_text import op4_page_text
+from .periodic_runs import op11_periodic_runs
 from .quality_rules import op8_quality_rules
 from .search import OP6_SQL, op6_top_k_search
 from .sharding import op10_sharding
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_top_k_search": OP6_SQL}
