@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .byte_bpe import op7_byte_bpe
+from .decontamination import OP12_SQL, op12_decontamination
 from .minhash import op2_minhash_near_dedup
 from .packing import op9_packing
 from .page_text import op4_page_text
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_decontamination": op12_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_top_k_search": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_top_k_search": OP6_SQL, "op12_decontamination": OP12_SQL}
