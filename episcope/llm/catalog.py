@@ -11,6 +11,7 @@ from .periodic_runs import op11_periodic_runs
 from .quality_rules import op8_quality_rules
 from .search import OP6_SQL, op6_top_k_search
 from .sharding import op10_sharding
+from .spelling import op13_spelling_variants
 from .substring_dedup import op5_substring_dedup
 from .suffix_dedup import op3_suffix_dedup
 from .toxicity import op1_toxicity
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_decontamination": op12_decontamination,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_top_k_search": OP6_SQL, "op12_decontamination": OP12_SQL}
