@@ -6,8 +6,8 @@ text (length, share inside links, punctuation, digits, place in the page);
 neighbouring labels interact through learned transitions.  Training maximises
 the conditional likelihood (forward-backward, AdaGrad) on labelled pages:
 those of ``labelled_pages`` and at most ``max_pages`` pages of the table itself
-(the least by hash of id, no larger than ``max_chars``) that mark their article:
-blocks inside ``article`` or ``main``, but in no nested menu, aside, form, header or
+(the least by hash of id; none larger than ``max_chars`` characters, which None
+lifts, or deeper than 250 elements) that mark their article: blocks inside ``article`` or ``main``, but in no nested menu, aside, form, header or
 footer, are main text there.  Decoding is by Viterbi.
 
 Every page is read whole.  Defined cases: a null or empty page, or one without
@@ -19,6 +19,7 @@ alone); other columns are not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,28 +28,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import read_table
-from .dom import Block, blocks
+from .dom import Block, Element, blocks
 from .labelled_pages import labelled_pages
 
-MAX_PAGES, MAX_CHARS = 200, 200_000
+MAX_PAGES, MAX_CHARS, MAX_DEPTH = 200, 200_000, 250
 APART = frozenset("nav aside form header footer".split())
 
 
+def text_features(k: int, n: int, b: Block) -> list[str]:
+    """The active features of block k of n but those of its ancestors."""
+    t = b.text
+    words = t.count(" ") + 1
+    linked = b.linked / len(t)
+    return ["bias", f"tag={b.element.tag if b.element else ''}",
+            f"words={min(words.bit_length(), 8)}", f"linked={int(linked * 4)}", f"end={t[-1] if t[-1] in '.!?:,;' else ''}",
+            f"commas={min(t.count(','), 3)}", f"mark={any(c in t for c in '©|»')}", f"place={4 * k // n}", f"edge={k == 0 or k == n - 1}"]
+
+
+def element_features(e: Element) -> list[str]:
+    return [f"in={e.tag}", *(f"name={w}" for w in e.names)]
+
+
 def features(page: list[Block]) -> list[list[str]]:
-    """The active features of each block."""
+    """The active features of each block, those of its ancestors included."""
+    above: dict[Element, list[str]] = {}
     out = []
-    n = len(page)
-    shared: dict[tuple, list[str]] = {}
     for k, b in enumerate(page):
-        key = (b.tags, b.names)
-        if key not in shared:
-            shared[key] = ["bias"] + [f"in={t}" for t in set(b.tags)] + [f"name={w}" for w in b.names] + [f"tag={b.tags[-1] if b.tags else ''}"]
-        t = b.text
-        words = t.count(" ") + 1
-        linked = b.linked / len(t)
-        out.append(shared[key] + [
-            f"words={min(words.bit_length(), 8)}", f"linked={int(linked * 4)}", f"end={t[-1] if t[-1] in '.!?:,;' else ''}",
-            f"commas={min(t.count(','), 3)}", f"mark={any(c in t for c in '©|»')}", f"place={4 * k // n}", f"edge={k == 0 or k == n - 1}"])
+        if b.element and b.element not in above:
+            above[b.element] = sorted({x for e in b.element.chain() for x in element_features(e)})
+        out.append(text_features(k, len(page), b) + (above[b.element] if b.element else []))
     return out
 
 
@@ -61,11 +69,22 @@ class Tagger:
     transitions: np.ndarray
 
     def potentials(self, page: list[Block]) -> np.ndarray:
+        """Sums of the weights of each block's features.  An element adds its own to its parent's, so that deep pages
+        take no longer than flat ones."""
         out = np.zeros((len(page), 2))
         get = self.index.get
-        for k, names in enumerate(features(page)):
-            ids = [i for i in map(get, names) if i is not None]
-            out[k] = self.weights[ids].sum(axis=0)
+        known: dict[Element | None, tuple[frozenset[int], np.ndarray]] = {None: (frozenset(), np.zeros(2))}
+        for k, b in enumerate(page):
+            new, e = [], b.element
+            while e not in known:
+                new.append(e)
+                e = e.parent
+            for e in reversed(new):
+                seen, total = known[e.parent]
+                more = {i for i in map(get, element_features(e)) if i is not None} - seen
+                known[e] = (seen | more, total + self.weights[sorted(more)].sum(axis=0)) if more else (seen, total)
+            ids = [i for i in map(get, text_features(k, len(page), b)) if i is not None]
+            out[k] = known[b.element][1] + self.weights[ids].sum(axis=0)
         return out
 
     def tag(self, page: list[Block]) -> list[int]:
@@ -140,19 +159,22 @@ def marked(page: list[Block]) -> list[int] | None:
     """Labels of a page that marks its article, or None."""
     labels = []
     for b in page:
-        inside = max((k for k, t in enumerate(b.tags) if t in ("article", "main")), default=None)
-        labels.append(int(inside is not None and not APART.intersection(b.tags[inside + 1:])))
+        tags = b.tags
+        inside = max((k for k, t in enumerate(tags) if t in ("article", "main")), default=None)
+        labels.append(int(inside is not None and not APART.intersection(tags[inside + 1:])))
     share = sum(len(b.text) for b, y in zip(page, labels) if y) / max(1, sum(len(b.text) for b in page))
     return labels if 0.3 <= share < 1 else None
 
 
-def learn(pages: DataFrame, max_pages: int = MAX_PAGES, max_chars: int = MAX_CHARS) -> Tagger:
+def learn(pages: DataFrame, max_pages: int = MAX_PAGES, max_chars: int | None = MAX_CHARS) -> Tagger:
     data = [(p, [b.label or 0 for b in p]) for p in map(blocks, labelled_pages())]
-    some = (pages.where(F.col("page_id").isNotNull() & (F.length("html") <= max_chars)).select("page_id", "html")
+    fits = F.lit(True) if max_chars is None else F.length("html") <= max_chars
+    some = (pages.where(F.col("page_id").isNotNull() & F.col("html").isNotNull() & fits).select("page_id", "html")
             .orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages))
     for row in some.collect():
         page = blocks(row.html)
-        labels = marked(page)
+        deep = any(sum(1 for _ in islice(b.element.chain(), MAX_DEPTH + 1)) > MAX_DEPTH for b in page if b.element)
+        labels = None if deep else marked(page)
         if labels:
             data.append((page, labels))
     return train(data)

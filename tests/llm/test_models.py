@@ -97,6 +97,32 @@ def test_leaf_blocks():
     assert [b.text for b in blocks("plain < text")] == ["plain < text"]
 
 
+def test_unclosed_elements_lose_no_text():
+    texts = lambda html: [b.text for b in blocks(html)]
+    for tag in ("template", "noscript", "iframe", "svg", "select", "button", "object", "canvas", "audio", "video", "math", "b", "div", "li"):
+        got = texts(f"<article><p>one</p><{tag}>x<p>two</p><p>three</p></article><p>four")
+        assert [t for t in got if t != "x"][-3:] == ["two", "three", "four"] and "one" in got[0], (tag, got)
+        closed = texts(f"<article><p>one</p><{tag}>x</{tag}><p>two</p></article>")
+        assert closed[0].startswith("one") and closed[-1] == "two"
+    assert texts("<button><div>Share</div></button>ok") == ["ok"]
+    assert texts("<select><option>A<option>B</select><p>x") == ["x"]
+    assert texts("<p>Let <math><mi>x</mi></math> hold.</p>") == ["Let x hold."]
+    assert texts("<p>a<![CDATA[abcdef") == ["aabcdef"] and texts("<p>a<![CDATA[b<c]]>d") == ["ab<cd"] and texts("<p>a<![CDATA[b>c") == ["ab>c"]
+    assert texts("a <!-- b > c") == ["a"] and texts("a <!-- b") == ["a"] and texts("<title>x</title ><p>y") == ["y"]
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    tagger = H.train([(p, [b.label or 0 for b in p]) for p in map(blocks, labelled_pages(30))], epochs=2)
+    n = 50_000
+    for html in ("<div class=a>x" * n, "<a " * 2 * n, "<button>x" * n, "".join(f"<div class=c{'ab'[k % 2]}>x</q>" for k in range(n)),
+                 "<!-- " * n + ">" + "<a '" * n, "<p>" + "<x-a>" * n + "<li>y" * n):
+        start = time.process_time()
+        tagger.tag(blocks(html))
+        assert time.process_time() - start < 5, html[:40]
+
+
 def test_tagger_on_held_out_layouts():
     tagger = H.train([(p, [b.label or 0 for b in p]) for p in map(blocks, labelled_pages())])
     right = total = 0
@@ -126,6 +152,7 @@ def test_page_text_query(spark, tmp_path):
     want = "Title\nFirst é line.\nSecond line.\nThird."
     assert got.count((1, want, len(want))) == 2
     assert (2, "", 0) in got and (3, "", 0) in got and len(got) == 6
+    assert H.main_text(spark.read.parquet(f"{tmp_path}/pages.parquet").where("page_id > 9"), H.train([])).count() == 0
     long_ = next(g for g in got if g[0] == 4)
     assert long_[2] == len(long_[1]) > 130_000
 
