@@ -87,10 +87,15 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     distinct = members.select("window", "length").distinct()
     sizes = [r.k for r in distinct.select(F.least("length", F.lit(shingle)).alias("k")).distinct().orderBy("k").collect()]
 
-    split = docs.select(F.col(f"`{id_col}`").alias("id"), words(F.col(f"`{text_col}`")).alias("w"))
-    split = split.withColumn("rid", F.monotonically_increasing_id()).withColumn("n", F.size("w"))
-    # One list of hashes a document: the base row's, then n for each size of shingle.
-    hashes = F.concat(F.array(F.lit(_BASE).cast("long")), *[_shingles(F.col("w"), F.col("n"), k) for k in sizes])
+    def read(w: Column) -> Column:
+        """A document's words, their number and one list of hashes: the base row's, then n for each size of shingle."""
+        n = F.size(w)
+        return F.struct(w.alias("w"), n.alias("n"), F.concat(F.array(F.lit(_BASE).cast("long")), *[_shingles(w, n, k) for k in sizes]).alias("hashes"))
+
+    # Exploding one struct a document splits its text once; the explode of the hashes, the join and the check of a window are
+    # generated code over that row.
+    split = docs.select(F.col(f"`{id_col}`").alias("id"), F.explode(F.transform(F.array(words(F.col(f"`{text_col}`"))), read)).alias("doc"))
+    split = split.select(F.monotonically_increasing_id().alias("rid"), "id", "doc.*")
 
     own = F.when(F.lit(False), F.array().cast("array<long>"))
     for k in sizes:
@@ -98,7 +103,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     parts = materialize(distinct.select("window", "length", F.posexplode(own).alias("offset", "h")).where("h is not null"), "window_shingles")
 
     # 1. how often each shingle of the benchmark occurs
-    scan = split.select(F.explode(hashes).alias("h"))
+    scan = split.select(F.explode("hashes").alias("h"))
     counts = [scan.join(F.broadcast(s), "h").groupBy("h").count() for s in _slices(parts.select("h").distinct(), slice_rows)]
     rarity = reduce(DataFrame.unionByName, counts)
     rarest = F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "h", "offset")).alias("rarest")
@@ -108,7 +113,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     # 2., 3. occurrences, and one base row a document
     base = anchors.sparkSession.createDataFrame([(None, 0, _BASE, 0)], anchors.schema)
-    scan = split.select("rid", "id", "n", "w", F.posexplode(hashes).alias("place", "h"))
+    scan = split.select("rid", "id", "n", "w", F.posexplode("hashes").alias("place", "h"))
     start = F.when(F.col("place") > 0, (F.col("place") - 1) % F.when(F.col("n") > 0, F.col("n"))) - F.col("offset")
     whole = F.array_join(F.slice("w", F.col("start") + 1, F.col("length")), " ") == F.col("window")
     found = []
