@@ -1,18 +1,19 @@
 """Distinct-episode counts over the grouping specs, low-count folding and the
 working-day adjustment: the published long table.
 
-All 66 specs are counted in **one pass**: every cleaned row emits one
-10-key group row per spec it belongs to (``inline`` over an array of
-conditional structs -- Spark's Expand), and one ``count(DISTINCT episode)``
-runs over all of them.  Spark plans that as a partial aggregate on
-(keys, episode) -- duplicates collapse map-side -- then a count per key
-that also aggregates map-side, so even a group holding a third of all rows
-(the national total of one year) is summed in many tasks.  A union of 66
-separate group-bys would scan and shuffle the input 66 times.
+The cleaned rows are reduced once to units (``cells``): an episode in a month
+or year.  Units with one combination of attributes are counted in cells, and
+each cell -- not each row -- emits one narrow group row per spec it belongs to
+(``inline`` over an array of conditional structs, Spark's Expand), whose numbers
+are summed.  The few units with several combinations emit their rows, counted
+by ``count(DISTINCT episode)``.  Every aggregate combines map-side, so even a
+group holding a third of all rows is summed in many tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,27 +21,25 @@ from pyspark.sql import types as T
 from ..functions import fixed_values as fv
 from ..functions.recode import working_day_adjust
 from ..plans.specs import Geo, Spec, all_specs
+from ..session import materialize
+from .cells import EP, UNIT_COLUMNS, cells
 
 KEYS = ["activity_year", "activity_month", "period", "wd", "geo_lvl", "geo_val",
         "prim_lvl", "prim_val", "lvl_2", "lvl_2_val"]
 PUBLISHED_COLUMNS = KEYS + ["episodeCount", "adjusted"]
-EP = "RADIOTHERAPYEPISODEID"
 
 _STR = T.StringType()
 
 
 # Grouping key while counting: the spec number stands for the constant
-# columns of its spec (period, geo level, level names), which are attached
-# after the count, so the shuffled keys stay narrow.
-NARROW_KEYS = ["spec_id", "activity_year", "activity_month", "wd", "geo_val", "prim_val", "lvl_2_val"]
+# columns of its spec (period, geo level, level names) and the month for its
+# working days; both are attached after the count, so the shuffled keys stay
+# narrow.
+NARROW_KEYS = ["spec_id", "activity_year", "activity_month", "geo_val", "prim_val", "lvl_2_val"]
 
 
 def _group_row(spec_id: int, period: str, geo: Geo, spec: Spec) -> Column:
-    year = F.col("EPI_YEAR").cast("int")
-    if period == fv.PERIOD_YEAR:
-        month, wd = F.lit(None).cast("int"), F.lit(0.0)
-    else:
-        month, wd = F.col("EPI_MONTH").cast("int"), F.col("WORKING_DAYS").cast("double")
+    month = F.lit(None) if period == fv.PERIOD_YEAR else F.col("EPI_MONTH")
     geo_val = F.lit(geo.geo_val) if geo.geo_val_col is None else F.col(geo.geo_val_col)
 
     def val(c):
@@ -48,7 +47,7 @@ def _group_row(spec_id: int, period: str, geo: Geo, spec: Spec) -> Column:
 
     return F.struct(
         F.lit(spec_id).alias("spec_id"),
-        year.alias("activity_year"), month.alias("activity_month"), wd.alias("wd"),
+        F.col("EPI_YEAR").cast("int").alias("activity_year"), month.cast("int").alias("activity_month"),
         geo_val.cast(_STR).alias("geo_val"),
         val(spec.prim_col).alias("prim_val"), val(spec.lvl_2_col).alias("lvl_2_val"),
     )
@@ -66,25 +65,23 @@ def mirrored(specs) -> dict[int, int]:
     return out
 
 
-def spec_rows(cleaned: DataFrame, specs=None) -> DataFrame:
-    """(episode, spec number, group values) rows: one per cleaned row and
-    spec it is in.  The cleaned rows are first spread round-robin over the
-    shuffle partitions: the explode multiplies them by the number of specs,
-    so its parallelism must not depend on how small the cleaned table's
-    partitions were coalesced (round-robin also keeps a hot episode from
-    loading one task)."""
-    specs = all_specs() if specs is None else specs
+def spec_rows(rows: DataFrame, specs, period: str, carried: str) -> DataFrame:
+    """(``carried``, narrow keys): one row per row and spec of ``period`` it is in.
+
+    The rows are first spread round-robin over the shuffle partitions: the
+    explode multiplies them by the number of specs, so its parallelism must not
+    depend on how far their partitions were coalesced."""
     arms = []
     mirrors = set(mirrored(specs).values())
-    for i, (period, geo, spec) in enumerate(specs):
-        if i in mirrors:
+    for i, (p, geo, spec) in enumerate(specs):
+        if i in mirrors or p != period:
             continue
-        row = _group_row(i, period, geo, spec)
+        row = _group_row(i, p, geo, spec)
         if spec.intents is not None:
             row = F.when(F.col("INTENT").isin(*spec.intents), row)
         arms.append(row)
-    parts = int(cleaned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cleaned.repartition(parts).select(F.col(EP), F.inline(F.array_compact(F.array(*arms))))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts).select(F.col(carried), F.inline(F.array_compact(F.array(*arms))))
 
 
 def _pick(values: list) -> Column:
@@ -93,21 +90,43 @@ def _pick(values: list) -> Column:
     return F.element_at(arr, F.col("spec_id") + 1)
 
 
-def count_episodes(cleaned: DataFrame, specs=None) -> DataFrame:
-    """Distinct episodes per group of every spec (exact, not approximate)."""
+def count_units(unit_rows: DataFrame, specs=None) -> DataFrame:
+    """Distinct episodes by the narrow keys of every spec (exact); ``unit_rows`` have ``cells.UNIT_COLUMNS``, stored."""
     specs = all_specs() if specs is None else specs
-    counts = (spec_rows(cleaned, specs).groupBy(*NARROW_KEYS)
-              .agg(F.countDistinct(EP).alias("episodeCount")))
-    counts = with_mirrors(counts, specs)
-    return counts.select(
-        "activity_year", "activity_month",
-        _pick([p for p, _, _ in specs]).alias("period"), "wd",
+    parts = []
+    for period in dict.fromkeys(p for p, _, _ in specs):
+        single, several = cells(unit_rows, period)
+        parts.append(spec_rows(single, specs, period, "n").groupBy(*NARROW_KEYS).agg(F.sum("n").alias("episodeCount")))
+        parts.append(spec_rows(several, specs, period, EP).groupBy(*NARROW_KEYS).agg(F.countDistinct(EP).alias("episodeCount")))
+    both = reduce(DataFrame.unionByName, parts).groupBy(*NARROW_KEYS).agg(F.sum("episodeCount").alias("episodeCount"))
+    return with_mirrors(both, specs)
+
+
+def named_counts(counts: DataFrame, month_days: DataFrame, specs=None) -> DataFrame:
+    """Counts by narrow keys with the specs' constant columns, and each month's working days from
+    ``month_days`` (EPI_YEAR, EPI_MONTH, WORKING_DAYS)."""
+    specs = all_specs() if specs is None else specs
+    days = month_days.select(F.col("EPI_YEAR").cast("int").alias("activity_year"), F.col("EPI_MONTH").cast("int").alias("activity_month"),
+                             F.col("WORKING_DAYS").cast("double").alias("days"))
+    counts = counts.withColumn("period", _pick([p for p, _, _ in specs]))
+    wd = F.when(F.col("period") == fv.PERIOD_YEAR, F.lit(0.0)).otherwise(F.col("days"))
+    return counts.join(days, ["activity_year", "activity_month"], "left").select(
+        "activity_year", "activity_month", "period", wd.alias("wd"),
         _pick([g.geo_lvl for _, g, _ in specs]).alias("geo_lvl"), "geo_val",
         _pick([s.prim_lvl for _, _, s in specs]).alias("prim_lvl"), "prim_val",
         _pick([s.lvl_2 for _, _, s in specs]).alias("lvl_2"), "lvl_2_val",
         "episodeCount")
 
 
+def count_episodes(cleaned: DataFrame, specs=None) -> DataFrame:
+    """Distinct episodes per group of every spec (exact, not approximate)."""
+    specs = all_specs() if specs is None else specs
+    # Stored: each period reads the units twice, and the working days come from them too.
+    stored = materialize(cleaned.select(*UNIT_COLUMNS, "WORKING_DAYS").distinct(), "units")
+    days = stored.select("EPI_YEAR", "EPI_MONTH", "WORKING_DAYS").distinct()
+    return named_counts(count_units(stored.drop("WORKING_DAYS"), specs), days, specs)
+
+
 def with_mirrors(counts: DataFrame, specs) -> DataFrame:
     """Adds the mirrored specs' rows: the same counts with the two level values swapped."""
     pairs = mirrored(specs)
@@ -118,25 +137,28 @@ def with_mirrors(counts: DataFrame, specs) -> DataFrame:
     rows = F.array_compact(F.array(
         row(F.col("spec_id"), "prim_val", "lvl_2_val"),
         F.when(F.col("spec_id").isin(*pairs), row(F.try_element_at(twin, F.col("spec_id")), "lvl_2_val", "prim_val"))))
-    return counts.select("activity_year", "activity_month", "wd", "geo_val", "episodeCount", F.inline(rows))
+    return counts.select("activity_year", "activity_month", "geo_val", "episodeCount", F.inline(rows))
 
 
 def fold_low_counts(counts: DataFrame) -> DataFrame:
     """National rows only: values of the schedule levels counted below 5 are
     relabelled 'other' (first and second level tested on their own), then
-    rows are regrouped and their distinct counts *summed*.  Area rows carry
-    no such level, so the regroup leaves them as they are."""
-    national = F.col("geo_lvl") == fv.GEO_NATIONAL[0]
+    rows are regrouped and their distinct counts *summed*.  Rows of other
+    specs carry no such level and pass by the regroup as they are."""
+    counts = materialize(counts, "counts")
+    foldable = (F.col("geo_lvl") == fv.GEO_NATIONAL[0]) & (F.col("prim_lvl").isin(*fv.LOW_COUNT_LEVELS)
+                                                         | F.coalesce(F.col("lvl_2").isin(*fv.LOW_COUNT_LEVELS), F.lit(False)))
     small = F.col("episodeCount") < fv.LOW_COUNT_LIMIT
     other = F.lit(fv.LOW_COUNT_LABEL)
-    relabelled = counts.select(
+    relabelled = counts.where(foldable).select(
         *[c for c in KEYS if c not in ("prim_val", "lvl_2_val")],
-        F.when(national & F.col("prim_lvl").isin(*fv.LOW_COUNT_LEVELS) & small, other)
+        F.when(F.col("prim_lvl").isin(*fv.LOW_COUNT_LEVELS) & small, other)
         .otherwise(F.col("prim_val")).alias("prim_val"),
-        F.when(national & F.col("lvl_2").isin(*fv.LOW_COUNT_LEVELS) & small, other)
+        F.when(F.col("lvl_2").isin(*fv.LOW_COUNT_LEVELS) & small, other)
         .otherwise(F.col("lvl_2_val")).alias("lvl_2_val"),
         "episodeCount")
-    return relabelled.groupBy(*KEYS).agg(F.sum("episodeCount").alias("episodeCount"))
+    folded = relabelled.groupBy(*KEYS).agg(F.sum("episodeCount").alias("episodeCount"))
+    return counts.where(~F.coalesce(foldable, F.lit(False))).select(*KEYS, "episodeCount").unionByName(folded.select(*KEYS, "episodeCount"))
 
 
 def drop_unmatched_icb(counts: DataFrame) -> DataFrame:
@@ -148,7 +170,12 @@ def drop_unmatched_icb(counts: DataFrame) -> DataFrame:
 
 def publish(cleaned: DataFrame, specs=None) -> DataFrame:
     """The published table (12 columns)."""
-    counts = drop_unmatched_icb(fold_low_counts(count_episodes(cleaned, specs)))
+    return published_columns(count_episodes(cleaned, specs))
+
+
+def published_columns(counts: DataFrame) -> DataFrame:
+    """Named counts, folded and adjusted."""
+    counts = drop_unmatched_icb(fold_low_counts(counts))
     return counts.select(
         *KEYS, F.col("episodeCount").cast("long").alias("episodeCount"),
         working_day_adjust(F.col("episodeCount"), F.col("wd")).alias("adjusted"))

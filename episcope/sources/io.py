@@ -77,8 +77,15 @@ def write_published(published: DataFrame, folder: str, run_date: dt.date | None
     stamp = (run_date or dt.date.today()).isoformat()
     base = f"{folder.rstrip('/')}/aggregation{stamp}"
     published.write.mode("overwrite").parquet(f"{base}.parquet")
-    order = ["geo_lvl", "period", "prim_lvl", "activity_year", "activity_month"]
     stored = published.sparkSession.read.schema(published.schema).parquet(f"{base}.parquet")
-    (stored.repartitionByRange(*order).sortWithinPartitions(*order)
-     .write.mode("overwrite").option("header", True).csv(f"{base}.csv"))
-    return {"parquet": f"{base}.parquet", "csv": f"{base}.csv"}
+    return {"parquet": f"{base}.parquet", "csv": write_review(stored, f"{base}.csv")}
+
+
+REVIEW_ORDER = ["geo_lvl", "period", "prim_lvl", "activity_year", "activity_month"]
+
+
+def write_review(stored: DataFrame, path: str) -> str:
+    """The small-number review file: CSV part files in range order, sorted inside."""
+    (stored.repartitionByRange(*REVIEW_ORDER).sortWithinPartitions(*REVIEW_ORDER)
+     .write.mode("overwrite").option("header", True).csv(path))
+    return path

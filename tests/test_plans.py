@@ -12,7 +12,9 @@ from conftest import SF_SMALL
 from episcope.operators import aggregate as AG
 from episcope.operators import clean as CL
 from episcope.operators import episodes as EPI
+from episcope.functions import fixed_values as fv
 from episcope.operators import extract as X
+from episcope.operators.cells import cells, units
 from episcope.plans.specs import all_specs
 from episcope.sources.fixtures import load_inputs
 from episcope.sources.tables import SCHEMAS, read_inputs
@@ -61,7 +63,8 @@ def test_explode_has_the_configured_tasks(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "2000")
     try:
-        assert "RoundRobinPartitioning(2000)" in _tree(AG.spec_rows(cleaned))
+        single, _ = cells(units(cleaned), fv.PERIOD_MONTH)
+        assert "RoundRobinPartitioning(2000)" in _tree(AG.spec_rows(single, all_specs(), fv.PERIOD_MONTH, "n"))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
