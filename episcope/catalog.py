@@ -571,3 +571,6 @@ def qa_low_counts(spark, sf_dir):
 @query("qa_level_slice")
 def qa_level_slice(spark, sf_dir):
     return RP.level_slice(published_table(spark, sf_dir), [fv.LVL_DEPRIVATION, fv.LVL_INTENT])
+
+
+from . import catalog_runs  # noqa: E402,F401  (registers the queries of the monthly run's machinery)

@@ -102,3 +102,11 @@ def clean(ext: DataFrame, working_days: DataFrame, params: RunParams = DEFAULT)
     out = recode_areas(out)
     out = drop_impossible_pairs(out)
     return recode_tumour_and_category(out)
+
+
+def attributes(ext: DataFrame) -> DataFrame:
+    """The cleaning steps that look at a row alone: all but the month cut-offs
+    and the working days, which belong to one run."""
+    out = with_month_parts(england_only(patch_provider(ext)))
+    out = drop_other_gender(recode_demographics(out))
+    return recode_tumour_and_category(drop_impossible_pairs(recode_areas(out)))

@@ -221,6 +221,52 @@ SELECT DISTINCT {_day('MONTH_DATE')} AS calendar_month, WORKING_DAYS AS working_
     "qa_level_slice": "SELECT * FROM published WHERE prim_lvl IN ('Deprivation', 'Treatment intent')",
 }
 
+_ATTRS = ("CANCERTYPE, AGEGROUP, ETHNICITY, GENDER, DEPRIVATION, INTENT, DOSE_FRACTIONATION_SCHEDULES, FRACTIONATION_CATEGORY, "
+          "CANCER_ALLIANCE_NEW, ICB")
+_NUMBER = "CAST(substr(RADIOTHERAPYEPISODEID, 2) AS BIGINT) % 97"
+_MONTH_START = "CAST(strptime(CALENDAR_MONTH || '/01', '%Y/%m/%d') AS DATE)"
+_LOOKUPS = {"at_patient": "patientid", "nspl": "pcd", "hlthau": "hlthaucd", "lsoa_icb": "lsoa11cd", "imd": "lsoa11_code",
+            "rt_networks": "provider_code", "working_days": "calendar_month", "trustsics": "code"}
+# The yearly chunks of the period, by hand.
+_CHUNK_BOUNDS = [("2019-01-01", "2019-12-31"), ("2020-01-01", "2020-12-31"), ("2021-01-01", "2021-12-31"), ("2022-01-01", "2022-12-31"),
+                 ("2023-01-01", "2024-05-31")]
+
+FINAL |= {
+    "single_valued_cells": f"""
+SELECT EPI_YEAR, {_ATTRS}, count(*) AS n FROM (
+ SELECT RADIOTHERAPYEPISODEID, EPI_YEAR, {_ATTRS}, count(*) OVER (PARTITION BY RADIOTHERAPYEPISODEID, EPI_YEAR) AS combinations
+ FROM (SELECT DISTINCT RADIOTHERAPYEPISODEID, EPI_YEAR, {_ATTRS} FROM cleaned))
+WHERE combinations = 1 GROUP BY ALL""",
+    "resumed_extract": "SELECT * FROM extract",
+    "incremental_refresh": "SELECT * FROM published",
+    "published_by_manifest": "SELECT * FROM published",
+    "qa_run_checks": "\nUNION ALL\n".join(
+        [f"SELECT '{t}' AS step, 'repeated {k}' AS \"check\", count({k}) - count(DISTINCT {k}) AS value, "
+         f"CAST(count({k}) = count(DISTINCT {k}) AS INTEGER) AS passed FROM {t}" for t, k in _LOOKUPS.items()]
+        + ["SELECT 'extract_rows', 'rows', count(*), CAST(count(*) >= 1 AS INTEGER) FROM extract"]
+        + [f"SELECT 'extract_rows', 'null {c}', count(*) - count({c}), CAST(count(*) = count({c}) AS INTEGER) FROM extract"
+           for c in ("RADIOTHERAPYEPISODEID", "CALENDAR_MONTH")]
+        + [f"SELECT 'extract_rows', 'rows of chunk {k}', count(*), CAST(count(*) >= 1 AS INTEGER) FROM extract "
+           f"WHERE {_MONTH_START} BETWEEN DATE '{a}' AND DATE '{b}'" for k, (a, b) in enumerate(_CHUNK_BOUNDS, 1)]),
+    "reject_report": f"""
+SELECT * FROM (
+ SELECT 'number of fields' AS reason, 19 AS n_fields, count(*) AS n_lines FROM extract WHERE {_NUMBER} = 0
+ UNION ALL SELECT 'type of a field', 21, count(*) FROM extract WHERE {_NUMBER} = 1)
+WHERE n_lines > 0""",
+    "accepted_lines": f"SELECT * FROM extract WHERE {_NUMBER} NOT IN (0, 1)",
+    "schedule_by_rules": f"""
+SELECT DISTINCT cancertype, min_intent, CAST(max_dose AS DOUBLE) AS max_dose, max_fractions,
+ {_schedule_case()} AS dose_fractionation_schedules, {_schedule_group_case()} AS schedule_group FROM rank1""",
+    "stored_layout_join": f"""
+SELECT e.attendid, e.radiotherapyepisodeid, p.prescriptionid, {_day('e.treatmentstartdate')} AS treatmentstartdate
+FROM at_episodes e JOIN at_prescriptions p ON e.attendid = p.attendid AND e.orgcodeprovider = p.orgcodeprovider
+ AND e.radiotherapyepisodeid = p.radiotherapyepisodeid AND e.patientid = p.patientid
+WHERE e.treatmentstartdate BETWEEN DATE '{P0}' AND DATE '{P1}' AND EXISTS (
+ SELECT 1 FROM at_exposures x WHERE p.orgcodeprovider = x.orgcodeprovider AND p.attendid = x.attendid
+  AND p.radiotherapyepisodeid = x.radiotherapyepisodeid AND p.patientid = x.patientid AND p.prescriptionid = x.prescriptionid
+  AND (p.rttreatmentmodality = '05' OR x.machineid IN ({_in(fv.ADMITTED_MACHINES)})))""",
+}
+
 _PROFILED = ["EPI_YEAR", "EPI_MONTH", "CALENDAR_MONTH", "INTENT", "AGEGROUP", "GENDER", "ETHNICITY",
              "DEPRIVATION", "ICB", "CANCERTYPE", "FRACTIONATION_CATEGORY", "DOSE_FRACTIONATION_SCHEDULES",
              "CANCER_ALLIANCE_NEW", "WORKING_DAYS", "SEX", "ETHNICITYNAME", "IMD19_QUINTILE_LSOAS", "ICB_HB"]
