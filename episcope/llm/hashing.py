@@ -2,15 +2,24 @@
 
 A run ``c[p:p+L]`` of 64-bit units hashes to ``sum c[p+k] * M**k (mod 2**64)``,
 read off prefix sums for all positions at once; ``mix`` spreads the bits.
-Bytes are mapped to random 64-bit units first, so equal sums of different
-short runs have the probability of a random 64-bit collision.
+Such sums are for short runs: texts that differ in a pattern (one and the same
+change at places that double a power of two often enough) share the low bits of
+their sums, about k*k/2 bits for a pattern of 2**k places, whatever the
+multiplier.  So
+
+* whole texts, and words of more than ``SHORT`` bytes, have a digest of their bytes;
+* windows mix the sums of both multipliers into one name (``window_names``): 128
+  bits, of which a pattern that fits a window of 100 units takes 54.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
+SHORT = 24
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _U = np.uint64
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -66,6 +75,16 @@ class Runs:
         return mix(self.at(start, start + length))
 
 
+def window_names(units: np.ndarray, first: Runs, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the runs at ``start``: names made of the sums of both multipliers, and the second's hashes (to deal by)."""
+    second = Runs(units, MULTIPLIERS[1]).windows(start, length)
+    return mix(first.windows(start, length) + (second << _U(29) | second >> _U(35))), second
+
+
+def digest(data: bytes | memoryview, size: int = 16) -> bytes:
+    return hashlib.blake2b(data, digest_size=size).digest()
+
+
 def column_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column (null: empty) and its n+1 offsets."""
     if isinstance(column, pa.ChunkedArray):
@@ -102,4 +121,9 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
     runs = Runs((LOWER_UNITS if lower else BYTE_UNITS)[raw])
-    return mix(runs.at(starts, ends) + (ends - starts).astype(np.uint64) * _U(0x8BB84B93962EACC9))
+    out = mix(runs.at(starts, ends) + (ends - starts).astype(np.uint64) * _U(0x8BB84B93962EACC9))
+    long = np.flatnonzero(ends - starts > SHORT)
+    if len(long):
+        words = (raw[a:b].tobytes() for a, b in zip(starts[long].tolist(), ends[long].tolist()))
+        out[long] = np.frombuffer(b"".join(digest(w.lower() if lower else w, 8) for w in words), dtype="<u8")  # bytes lower A-Z only
+    return out

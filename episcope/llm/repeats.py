@@ -13,14 +13,15 @@ equal windows therefore share an equal *anchor*: a run of
 
 1. Documents are packed into blocks (compressed Arrow record batches of about
    ``block_bytes`` of text), dealt out by block number.  Texts equal to an
-   earlier document's are found by digests; they are repeats as a whole and
+   earlier document's are found by digests (blake2b); they are repeats as a whole and
    leave the search.
 2. Every block names its cover anchors (hashes) and sends the distinct names,
    4 bytes each, to name buckets.  A bucket sorts its names and returns one
    bit per name: does it occur elsewhere?
 3. Only windows that hold a repeated anchor can be repeats.  (With ``refine``,
    the same is then asked of longer runs around the repeated anchors, so that
-   short common lines are not candidates.)  Each block hashes those windows (64 bits, in buckets dealt by a second, independent hash),
+   short common lines are not candidates.)  Each block names those windows
+   (64 bits mixed from two independent sums, in buckets dealt by the second),
    keeps its first of each, and sends them with their document ids.  A bucket
    finds the first of all and returns one bit for each that is not.
 4. Each block joins the bits back and cuts its texts.
@@ -49,8 +50,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shuffle_partitions
-from .hashing import BYTE_UNITS, MULTIPLIERS, Runs, column_bytes, mix, word_hashes, word_spans
+from .common import shuffle_partitions, without
+from .hashing import BYTE_UNITS, Runs, column_bytes, digest, mix, window_names, word_hashes, word_spans
 
 BLOCK_BYTES = 2 << 20
 _LAST = np.iinfo(np.int64).max
@@ -152,9 +153,10 @@ class _Block:
     def digests(self):
         """Of the texts that hold a window: names, bucket edges, and the first texts of each name in bucket order."""
         docs = np.flatnonzero(np.diff(self.at) >= self.cover.length)
-        size = np.diff(self.offsets)[docs].astype(np.uint64) * np.uint64(0x8BB84B93962EACC9)
-        names = [mix(Runs(BYTE_UNITS[self.raw], m).at(self.offsets[docs], self.offsets[docs + 1]) + size) for m in MULTIPLIERS]
-        return docs, *_firsts(names[0], names[1], self.buckets)
+        view = memoryview(self.raw)
+        made = b"".join(digest(view[a:b]) for a, b in zip(self.offsets[docs].tolist(), self.offsets[docs + 1].tolist()))
+        both = np.frombuffer(made, dtype="<u8").reshape(len(docs), 2)
+        return docs, *_firsts(both[:, 0], both[:, 1], self.buckets)
 
     def _copies(self) -> np.ndarray:
         docs, _, edges, first = self.digests()
@@ -207,8 +209,7 @@ class _Block:
 
     def windows(self, starts: np.ndarray):
         """Of the windows at ``starts``: names, bucket edges, and the first of each name in bucket order."""
-        second = Runs(self.units, MULTIPLIERS[1])
-        return _firsts(self.runs.windows(starts, self.cover.length), second.windows(starts, self.cover.length), self.buckets)
+        return _firsts(*window_names(self.units, self.runs, starts, self.cover.length), self.buckets)
 
     def ids(self, id_col: str) -> np.ndarray:
         return self.table[id_col].cast(pa.int64()).fill_null(_LAST).to_numpy()
@@ -310,7 +311,7 @@ def remove_repeats(df: DataFrame, cover: Cover, id_col: str = "doc_id", text_col
     parts = shuffle_partitions(spark)
     buckets = 2 * parts
     results = ["n_units", "n_removed", "n_spans"] + ["kept_sha256"] * digest + ["kept"] * keep_text
-    source = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in results])
+    source = without(df, results)
     dealt = blocks(source, id_col, text_col, block_bytes).repartition(parts, "block")
 
     def rows_of(b: _Block, blk: int, names, edges, docs, out: dict) -> None:

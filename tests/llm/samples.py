@@ -42,6 +42,21 @@ def documents(seed=5, n=60):
     return rows
 
 
+def patterned(size, step=64, space=""):
+    """Two texts that differ at every ``step``-th place, in the pattern that sums of powers modulo 2**64 can't tell apart."""
+    r = random.Random(size)
+    body = [r.choice("cdefghij") for _ in range(size)]
+    for k in range(7, size, 9 if space else size):
+        body[k] = space
+    out = []
+    for turn in (0, 1):
+        text = list(body)
+        for k in range(0, size, step):
+            text[k] = "ab"[(bin(k // step).count("1") + turn) % 2]
+        out.append("".join(text))
+    return out
+
+
 def words(text):
     return re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode())
 

@@ -6,7 +6,7 @@ import numpy as np
 
 from episcope.llm import minhash as M
 from episcope.llm.graph import components
-from samples import SCHEMA, documents, folder, words
+from samples import SCHEMA, documents, folder, patterned, words
 
 
 def brute(rows, k, percent):
@@ -43,6 +43,13 @@ def test_equals_brute_force(spark):
         assert got == brute(rows, words_, 80)
 
 
+def test_long_words_that_differ_in_a_pattern_are_not_linked(spark):
+    rows = [*enumerate(patterned(1 << 15)), *((k + 10, f"one two three four five {w}") for k, w in enumerate(patterned(1 << 11, step=8)))]
+    rows += [(20, rows[0][1].upper())]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in M.near_duplicates(spark.createDataFrame(rows, SCHEMA), 4, 80).collect()}
+    assert got == brute(rows, 4, 80) and got[1][1] == 1 and got[11][1] == 11 and got[20][1] == 0
+
+
 def test_nulls_repeated_ids_and_empty_tables(spark):
     df = spark.createDataFrame([(None, "a b c d e f g"), (None, "a b c d e f g"), (1, "a b c d e f g"), (1, "a b c d e f g"), (2, "A B C D E F G"), (3, None), (4, "")],
                                "doc_id long, text string")

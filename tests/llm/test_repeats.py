@@ -7,7 +7,7 @@ import pytest
 from episcope.llm.repeats import Cover, decode_kept, remove_repeats
 from episcope.llm.substring_dedup import WORDS_20, substring_dedup
 from episcope.llm.suffix_dedup import BYTES_100, suffix_dedup
-from samples import SCHEMA, documents, words
+from samples import SCHEMA, documents, patterned, words
 
 
 def brute(rows, unit, length):
@@ -39,6 +39,16 @@ def test_equals_brute_force(spark, cover, block_bytes):
     assert sum(v[1] for v in want.values()) > 0
 
 
+@pytest.mark.parametrize("cover", [WORDS_20, BYTES_100], ids=["words", "bytes"])
+def test_texts_that_differ_in_a_pattern_stay(spark, cover):
+    pair = patterned(1 << 14, space=" ")
+    rows = [*enumerate(pair), (2, pair[0]), (3, pair[1][:8000] + " other " + pair[0][:3000]), *((k + 10, w) for k, w in enumerate(patterned(1 << 15))),
+            *((k + 20, " ".join(w[a:a + 2048] for a in range(0, 1 << 16, 2048))) for k, w in enumerate(patterned(1 << 16, step=16)))]
+    got = {r.doc_id: (r.n_units, r.n_removed, r.n_spans, bytes(r.kept)) for r in remove_repeats(spark.createDataFrame(rows, SCHEMA), cover, keep_text=True).collect()}
+    want = brute(rows, cover.unit, cover.length)
+    assert got == want and want[1][1] == 0 and want[2][1] == want[2][0] and want[3][1] > 0 and want[11][1] == want[21][1] == 0
+
+
 def test_digest_is_of_the_kept_bytes(spark):
     df = spark.createDataFrame(documents(), SCHEMA)
     for r in remove_repeats(df, WORDS_20, keep_text=True).collect():
@@ -56,6 +66,8 @@ def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "x y", 5, 7)], "doc_id long, text string, n_removed long, block long")
     row = substring_dedup(df).first().asDict()
     assert row["n_removed"] == 0 and row["block"] == 7 and row["n_units"] == 2
+    clash = substring_dedup(df.withColumnRenamed("n_removed", "N_Removed")).select("n_removed", "block").first()
+    assert tuple(clash) == (0, 7)
     assert suffix_dedup(df.where("doc_id > 5")).count() == 0
 
 
