@@ -6,8 +6,8 @@ by their commonest term, so that a block of 32 neighbours is of one kind, and
 each term keeps its greatest weight in every block.  A query sums those maxima
 to an upper bound per block, takes the blocks in order of their bounds, and
 leaves out every block whose bound is below the k-th score it has (block-max
-WAND with blocks as pivots).  The k-th scores pass from shard to shard within
-a task; the shards' lists are merged by score.
+WAND with blocks as pivots).  The k-th scores pass from shard to shard of a
+lane; the lanes' lists are merged by score.
 
 Document frequencies, the number of documents and their mean length come from
 all documents, so every shard scores as one index would.  A term's weight is
@@ -16,7 +16,10 @@ with ``idf = ln(1 + (N - df + 0.5) / (df + 0.5))``; scores are sums of these who
 numbers, so they don't depend on the order of summation.  Terms are words
 ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; each distinct word of a query counts once.
 
-Queries go in blocks of ``query_block``: each meets every shard once.
+Every query meets every shard once, on a grid: shards are dealt into lanes of
+about ``lane_bytes`` (compressed), queries into parts of about ``query_bytes`` of
+terms, and a task has one lane and one part at a time, whatever the number of
+either.  What is shuffled is every lane's shards once a part and every query once a lane.
 
 Defined cases: null and empty texts match nothing and count as documents of
 length 0; ties go to the smaller id (null ids last); rows that repeat an id are
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import read_table, shuffle_partitions
+from .common import read_table
 from .hashing import column_bytes, word_hashes, word_spans
 from .repeats import _unpack, blocks
 
@@ -148,8 +151,15 @@ def _ranges(low: np.ndarray, high: np.ndarray, values: np.ndarray) -> tuple[np.n
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - size), size), np.repeat(values, size)
 
 
+def _merge(held: tuple | None, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    if held is not None:
+        ids, scores = np.concatenate([held[0], ids]), np.concatenate([held[1], scores])
+    best = np.lexsort((ids, -scores))[:k]
+    return ids[best], scores[best]
+
+
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
-          shard_bytes: int = 4 << 20, query_block: int = 256) -> DataFrame:
+          shard_bytes: int = 4 << 20, lane_bytes: int = 12 << 20, query_bytes: int = 8 << 20) -> DataFrame:
     """(query_id, rank, doc_id, score) of the k best documents of each query row."""
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -159,44 +169,43 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
 
     def terms(batches):
         for batch in batches:
-            found, owner = _distinct(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("query_id").take(pa.array(owner)), pa.array(found)], names=["query_id", "term"])
+            for a in range(0, batch.num_rows, 500):
+                found, owner = _distinct(batch.column("text").slice(a, 500))
+                yield pa.RecordBatch.from_arrays([batch.column("query_id").slice(a, 500).take(pa.array(owner)), pa.array(found)], names=["query_id", "term"])
 
     asked = (queries.select(F.col(f"`{id_col}`").cast("long").alias("query_id"), F.col(f"`{text_col}`").alias("text"))
              .mapInArrow(terms, "query_id long, term long").distinct())
-    count = queries.count()
-    parts = max(1, -(-count // query_block))
-    packed = materialize(
-        asked.join(stats.select("term", "df"), "term").groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", "df"))).alias("t"))
-        .groupBy(F.pmod(F.xxhash64("query_id"), F.lit(parts)).alias("part"))
-        .agg(F.collect_list(F.struct("query_id", F.col("t.term").alias("terms"), F.col("t.df").alias("dfs"))).alias("asked")), "queries")
-    lanes = 2 * shuffle_partitions(spark)
-    shards = blocks(docs, "doc_id", "text", shard_bytes).withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
-    sent = packed.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-
-    def search(batches):
-        index, block, least = None, None, {}
-        for batch in batches:
-            for r in range(batch.num_rows):
-                if batch.column("block")[r].as_py() != block:
-                    block = batch.column("block")[r].as_py()
-                    index = Index(batch.column("payload")[r].as_buffer(), "doc_id", "text", mean)
-                rows = batch.column("asked")[r].values
-                names, lists, dfs = rows.field("query_id").to_pylist(), rows.field("terms"), rows.field("dfs")
-                out: dict[str, list] = {"query_id": [], "doc_id": [], "score": []}
-                for q, name in enumerate(names):
-                    df = dfs[q].values.to_numpy()
-                    ids, scores = index.top(lists[q].values.to_numpy(), np.log(1 + (n - df + 0.5) / (df + 0.5)), k, least.get(name, [0])[0])
-                    if len(ids):
-                        held = sorted([*least.get(name, []), *scores.tolist()])[-k:]
-                        least[name] = held if len(held) == k else [0] * (k - len(held)) + held
-                        out["query_id"] += [name] * len(ids)
-                        out["doc_id"] += [None if i == np.iinfo(np.int64).max else i for i in ids.tolist()]
-                        out["score"] += scores.tolist()
-                yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in out.items()})
-
-    found = (shards.join(sent, "lane").sortWithinPartitions("block").select("block", "payload", "asked")
-             .mapInArrow(search, "query_id long, doc_id long, score long"))
+    asked = materialize(asked.join(stats.select("term", "df"), "term").groupBy("query_id")
+                        .agg(F.array_sort(F.collect_list(F.struct("term", "df"))).alias("t"))
+                        .select("query_id", F.col("t.term").alias("terms"), F.col("t.df").alias("dfs")), "queries")
+    shards = materialize(blocks(docs, "doc_id", "text", shard_bytes), "shards")
+    # The grid: lanes of shards by parts of queries, both of bounded size.  A cell's rows come to one task once each.
+    lanes = -(-(shards.agg(F.sum(F.length("payload"))).first()[0] or 1) // lane_bytes)
+    parts = -(-16 * (asked.agg(F.sum(F.size("terms"))).first()[0] or 1) // query_bytes)
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    left = shards.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")).withColumn("part", every(parts))
+    right = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")).withColumn("lane", every(lanes))
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        right = right.combine_chunks()
+        names, lists, dfs = right["query_id"].to_pylist(), right["terms"], right["dfs"]
+        for payload in left["payload"] if names else []:
+            index = Index(payload.as_buffer(), "doc_id", "text", mean)
+            for q, name in enumerate(names):
+                df = dfs[q].values.to_numpy()
+                held = best.get(name)
+                least = int(held[1][-1]) if held is not None and len(held[1]) == k else 0
+                ids, scores = index.top(lists[q].values.to_numpy(), np.log(1 + (n - df + 0.5) / (df + 0.5)), k, least)
+                if len(ids):
+                    best[name] = _merge(held, ids, scores, k)
+        ids = np.concatenate([x for x, _ in best.values()]) if best else np.zeros(0, dtype=np.int64)
+        return pa.table({"query_id": pa.array(np.repeat(np.array(list(best), dtype=np.int64), [len(x) for x, _ in best.values()]), pa.int64()),
+                         "doc_id": pa.array(ids, pa.int64(), mask=ids == np.iinfo(np.int64).max),
+                         "score": pa.array(np.concatenate([y for _, y in best.values()]) if best else ids, pa.int64())})
+
+    found = (left.groupBy("lane", "part").cogroup(right.groupBy("lane", "part"))
+             .applyInArrow(search, "query_id long, doc_id long, score long"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "doc_id", "score"))

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline as C
 from episcope.llm.search import top_k
-from samples import SCHEMA, documents, folder, sentence, words
+from samples import SCHEMA, documents, folder, patterned, sentence, words
 from test_minhash import brute as brute_components
 from test_models import INSULTS, brute_statistics
 from test_repeats import brute as brute_repeats
@@ -36,10 +36,10 @@ def brute_search(rows, queries, k):
 
 @pytest.mark.parametrize("shard_bytes", [1500, 1 << 22])
 def test_search_equals_plain_scoring(spark, shard_bytes):
-    rows = documents()
-    asked = rows[::9] + [(2000, None), (2001, "")]
+    rows = documents() + [(8000 + k, w) for k, w in enumerate(patterned(1 << 15))]  # two long words alike but for a pattern
+    asked = rows[::9] + [(2000, None), (2001, ""), rows[-1]]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = top_k(df, spark.createDataFrame(list(dict(asked).items()), SCHEMA), k=7, shard_bytes=shard_bytes, query_block=5)
+    got = top_k(df, spark.createDataFrame(list(dict(asked).items()), SCHEMA), k=7, shard_bytes=shard_bytes, lane_bytes=3 * shard_bytes, query_bytes=1 << 12)
     assert sorted(map(tuple, got.collect())) == brute_search(rows, dict(asked).items(), 7)
 
 
@@ -99,5 +99,5 @@ def test_all_queries_are_registered():
     for name in names:
         if name.startswith("op"):
             numbers[int(name[2:].split("_")[0])].append(name)
-    assert {k: len(v) for k, v in numbers.items()} == {k: 1 for k in range(1, 11)}
+    assert {k: len(v) for k, v in numbers.items()} == {k: 1 for k in range(1, 14)}
     assert "pipeline" in names and entry.oracle_sql().keys() <= names.keys()
