@@ -9,7 +9,7 @@ arguments (``spark.sql(text, name=df)``), the DuckDB oracle renders it with
 plain view names, so both engines read the very same definitions.
 
 Every view scales with the driver's tables; none holds made-up rows except
-the seven-row provider network look-up, which is reference data by nature.
+the nine-row provider network look-up, which is reference data by nature.
 The modulo conditions in the templates decide *what* a row is; rows that must
 find no match (customers without a patient record, LSOAs without an ICB or a
 deprivation quintile, lines without an exposure, months without activity) get
@@ -31,8 +31,8 @@ VIEW_TEMPLATES: dict[str, str] = {
     "ep0": """
 SELECT o_orderkey AS k, o_custkey AS patientid, CAST(o_orderdate AS DATE) AS od,
  CASE WHEN o_orderkey % 50 IN (1,3) THEN o_orderkey-1 ELSE o_orderkey END AS epno,
- split_part('RH1,R1H,RP6,RNL,RNN,RGQ,RDE,RQ8,RAJ,RXH,E0A,RYR,RA3,RA7,7A1,ZZZ',',',
-   CAST((CASE WHEN o_orderkey % 50 = 1 THEN o_orderkey-1 ELSE o_orderkey END) % 16 AS INT)+1) AS prov
+ split_part('RH1,R1H,RP6,RNL,RNN,RGQ,RDE,RQ8,RAJ,RXH,E0A,RYR,RA3,RA7,7A1,ZZZ,RDD,RBA,RDZ,RD3,RNJ',',',
+   CAST((CASE WHEN o_orderkey % 50 = 1 THEN o_orderkey-1 ELSE o_orderkey END) % 21 AS INT)+1) AS prov
 FROM {orders}""",
     "at_episodes": """
 SELECT DISTINCT e.k*10+l.l_linenumber AS attendid, concat('E',e.epno) AS radiotherapyepisodeid,
@@ -47,9 +47,9 @@ FROM {lineitem} l JOIN {ep0} e ON l.l_orderkey=e.k""",
 SELECT DISTINCT e.k*10+l.l_linenumber AS attendid, concat('E',e.epno) AS radiotherapyepisodeid,
  e.patientid, e.prov AS orgcodeprovider, concat('RX',l.l_partkey) AS prescriptionid,
  CASE WHEN l.l_quantity=50 THEN CAST(70 AS DECIMAL(8,3))
-      ELSE CAST(split_part('50,55,40,26,60,66,45,36.25,20,8,50.4,70,48,54,37.5,25,32.5',',',CAST(e.k%17 AS INT)+1) AS DECIMAL(8,3)) END AS rtprescribeddose,
+      ELSE CAST(split_part('50,55,40,26,60,66,45,36.25,20,8,50.4,70,48,54,37.5,25,32.5,45,50,50,60,30,45,50,40,54,30,36,45,40,35,18,35,39,61,55.001,49',',',CAST(e.k%37 AS INT)+1) AS DECIMAL(8,3)) END AS rtprescribeddose,
  CASE WHEN e.k%29=0 THEN 0 WHEN e.k%31=0 THEN NULL
-      ELSE CAST(split_part('28,20,15,5,30,33,25,5,6,1,28,35,15,36,15,5,4',',',CAST(e.k%17 AS INT)+1) AS INT) END AS prescribedfractions,
+      ELSE CAST(split_part('28,20,15,5,30,33,25,5,6,1,28,35,15,36,15,5,4,20,25,5,5,1,5,16,28,30,12,10,10,8,4,1,12,15,30,28,28',',',CAST(e.k%37 AS INT)+1) AS INT) END AS prescribedfractions,
  CASE WHEN l.l_returnflag='A' AND l.l_discount<0.05 THEN '06' ELSE '05' END AS rttreatmentmodality,
  NULLIF(split_part('P,R,PR,A,M,O,O,,P',',',CAST(round(l.l_tax*100) AS INT)+1),'') AS rttreatmentregion
 FROM {lineitem} l JOIN {ep0} e ON l.l_orderkey=e.k""",
@@ -57,7 +57,8 @@ FROM {lineitem} l JOIN {ep0} e ON l.l_orderkey=e.k""",
 SELECT CASE WHEN l.l_quantity=1 THEN -1 ELSE 1 END*(e.k*10+l.l_linenumber) AS attendid,
  concat('E',e.epno) AS radiotherapyepisodeid,
  e.patientid, e.prov AS orgcodeprovider, concat('RX',l.l_partkey) AS prescriptionid,
- CASE WHEN l.l_suppkey%10=0 THEN 'RA7OT1887' ELSE concat('M',l.l_suppkey) END AS machineid
+ CASE WHEN l.l_suppkey%10=0
+  THEN split_part('RA7OT1887,RHQOT1816,RHQOT1817,R1HOT2041,R1HOT3116,RTHOT3117,RR8OT3006,RNJLA1743,RWHLA1685,RRKLA1819,RPYLA1894,RPYLA1978',',',CAST(l.l_partkey%12 AS INT)+1) ELSE concat('M',l.l_suppkey) END AS machineid
 FROM {lineitem} l JOIN {ep0} e ON l.l_orderkey=e.k""",
     "at_patient": """
 SELECT CASE WHEN c_custkey%103=0 THEN -c_custkey ELSE c_custkey END AS patientid,
@@ -91,8 +92,9 @@ FROM {supplier}""",
     "rt_networks": """
 SELECT c AS provider_code, CASE WHEN c='7A1' THEN 'Wales' ELSE 'England' END AS country,
  concat('Provider ',c) AS provider_name, concat('Network ',substr(c,1,2)) AS rt_network_name,
- concat('Alliance ',substr(c,2,1)) AS cancer_alliance_old, concat('Alliance ',substr(c,2,1)) AS cancer_alliance_new
-FROM (VALUES ('R1H'),('RNN'),('RDE'),('RAJ'),('RYR'),('RA7'),('7A1')) t(c)""",
+ concat('Alliance ',substr(c,2,1)) AS cancer_alliance_old,
+ CASE WHEN c<>'RDE' THEN concat('Alliance ',substr(c,2,1)) END AS cancer_alliance_new
+FROM (VALUES ('R1H'),('RNN'),('RDE'),('RAJ'),('RYR'),('RA7'),('7A1'),('RH5'),('R0D')) t(c)""",
     "working_days": """
 SELECT DISTINCT CAST(date_trunc('month', {od_shifted}) AS DATE) AS calendar_month,
  CAST(18 + month(od)%5 AS INT) AS working_days

@@ -2,7 +2,7 @@
 
 Tables are read from any path that Spark reads (Parquet, or CSV with a
 header), never inferred: columns are picked by name and cast to the stated
-type, blank text becomes null (as in the source database) and timestamps
+type, empty text becomes null (as in the source database; spaces are kept) and timestamps
 become dates, so period bounds keep the whole of their last day.
 """
 
@@ -61,12 +61,12 @@ SCHEMAS: dict[str, T.StructType] = {
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` in its types; blank text is null.  A missing column is an error."""
+    """The columns of ``schema`` in its types; empty text is null.  A missing column is an error."""
 
     def value(f: T.StructField) -> Column:
         c = F.col(f.name)
         if isinstance(df.schema[f.name].dataType, T.StringType):
-            c = F.when(F.trim(c) != "", c)
+            c = F.when(c != "", c)
         return c.cast(f.dataType).alias(f.name)
 
     missing = [f.name for f in schema.fields if f.name not in df.columns]
