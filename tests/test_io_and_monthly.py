@@ -14,6 +14,7 @@ from episcope.operators import episodes as EPI
 from episcope.operators import extract as X
 from episcope.plans.monthly import monthly_run
 from episcope.sources.fixtures import load_inputs
+from episcope.sources.publication import read_published
 from episcope.sources.io import read_extract, write_extract
 
 
@@ -37,10 +38,11 @@ def test_monthly_run_equals_published(spark):
     inp = load_inputs(spark, SF_SMALL)
     folder = tempfile.mkdtemp(prefix="episcope-test-")
     out = monthly_run(spark, inp, folder, run_date=dt.date(2024, 6, 1))
-    assert out["parquet"].endswith("aggregation2024-06-01.parquet")
+    assert "/aggregation2024-06-01-" in out["parquet"]
     published = spark.read.parquet(out["parquet"])
     direct = AG.publish(CL.clean(X.extract(inp), inp.working_days))
     assert _rows(published) == _rows(direct)
+    assert _rows(read_published(spark, folder)) == _rows(direct)
     csv = spark.read.option("header", True).csv(out["csv"])
     assert csv.count() == direct.count()
 
