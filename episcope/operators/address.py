@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify as C
@@ -70,7 +70,7 @@ def _day_number(c, zero: str):
     return F.datediff(c, F.lit(zero).cast("date"))
 
 
-def _tie_break() -> "Column":
+def _tie_break() -> Column:
     """Order of addresses on the same date (and of undated ones)."""
     return F.struct(
         F.col("addressid").isNull().alias("id_null"),
@@ -82,26 +82,29 @@ def _tie_break() -> "Column":
     )
 
 
-def neighbour_address_days(days: DataFrame, address_days: DataFrame, span: int) -> DataFrame:
-    """For each (patient, treatment day ``t``, 0 <= t <= span): the latest
-    address day <= t (``prev``) and the soonest address day > t (``next``)."""
-    dated = address_days.filter(F.col("x").isNotNull() & F.col("patientid").isNotNull())
-    outside = dated.groupBy("patientid").agg(
-        F.max(F.when(F.col("x") < 0, F.col("x"))).alias("prev_out"),
-        F.min(F.when(F.col("x") > span, F.col("x"))).alias("next_out"))
-    inside = dated.filter(F.col("x").between(0, span)).select("patientid", F.col("x").alias("t"), F.lit(True).alias("moved"))
+def neighbour_addresses(days: DataFrame, on_day: DataFrame, span: int) -> DataFrame:
+    """For each (patient, treatment day ``t``, 0 <= t <= span) the best addresses of the latest address day <= t (``prev``) and
+    of the soonest one > t (``next``), each with its day, and the best undated one (``undated``).
+
+    ``on_day`` has the best address ``b`` of each patient and address day ``x``.  The windows carry it along, so no day is
+    joined back to the addresses."""
+    known = on_day.filter(F.col("patientid").isNotNull())
+    x, with_day = F.col("x"), F.struct("x", "b")
+    outside = known.groupBy("patientid").agg(
+        F.max(F.when(x < 0, with_day)).alias("prev_out"),
+        F.min(F.when(x > span, with_day)).alias("next_out"),
+        F.max(F.when(x.isNull(), F.col("b"))).alias("undated"))
+    inside = known.filter(x.between(0, span)).select("patientid", x.alias("t"), F.lit(False).alias("asked"), "b")
+    asked = days.select("patientid", "t", F.lit(True).alias("asked"), F.lit(None).cast(on_day.schema["b"].dataType).alias("b"))
     # One row per patient and day: at most span + 1 rows in a window.
-    line = (days.filter(F.col("patientid").isNotNull()).select("patientid", "t", F.lit(False).alias("moved")).unionByName(inside)
-            .groupBy("patientid", "t").agg(F.max("moved").alias("moved"), F.min("moved").alias("only_moved")))
-    at = F.when(F.col("moved"), F.col("t"))
+    line = asked.unionByName(inside).groupBy("patientid", "t").agg(F.max("asked").alias("asked"), F.max("b").alias("b"))
+    at = F.when(F.col("b").isNotNull(), F.struct(F.col("t").alias("x"), "b"))
     upward = Window.partitionBy("patientid").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     downward = Window.partitionBy("patientid").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
-    near = (line.withColumn("prev_in", F.max(at).over(upward)).withColumn("next_in", F.min(at).over(downward))
-            .filter(~F.col("only_moved")).select("patientid", "t", "prev_in", "next_in"))
-    return (days.join(near, ["patientid", "t"], "left").join(outside, "patientid", "left")
-            .select("patientid", "t",
-                    F.coalesce("prev_in", "prev_out").alias("prev"),
-                    F.coalesce("next_in", "next_out").alias("next")))
+    near = (line.withColumn("prev_in", F.last(at, ignorenulls=True).over(upward)).withColumn("next_in", F.last(at, ignorenulls=True).over(downward))
+            .filter("asked"))
+    return near.join(outside, "patientid", "left").select(
+        "patientid", "t", F.coalesce("prev_in", "prev_out").alias("prev"), F.coalesce("next_in", "next_out").alias("next"), "undated")
 
 
 def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_day: str) -> DataFrame:
@@ -110,32 +113,20 @@ def best_address_per_day(days: DataFrame, geo: DataFrame, first_day: str, last_d
     [first_day, last_day] (the extraction period)."""
     zero = first_day
     span = (dt.date.fromisoformat(last_day) - dt.date.fromisoformat(first_day)).days
-    # Stored: the as-of step and the look-ups read it, the address table is read once.
+    # Stored: read for the days inside the period and for those outside.
     on_day = materialize(geo.groupBy("patientid", _day_number(F.col("dateofaddress"), zero).alias("x")).agg(
         F.min(_tie_break()).alias("b")), "address_days")
     d = days.select("patientid", _day_number(F.col("treatmentstartdate"), zero).alias("t")).distinct()
-    nb = neighbour_address_days(d, on_day.select("patientid", "x"), span)
-    # Three look-ups per day: the address day before, the one after, undated.
-    looks = nb.select(
-        "patientid", "t",
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("kind"), F.col("prev").alias("x")),
-            F.struct(F.lit(1).alias("kind"), F.col("next").alias("x")),
-            F.struct(F.lit(2).alias("kind"), F.lit(None).cast("int").alias("x")))).alias("look"))
-    looks = looks.select("patientid", "t", "look.kind", "look.x").filter(
-        (F.col("kind") == 2) | F.col("x").isNotNull())
-    cand = looks.join(on_day.withColumnRenamed("x", "ax").withColumnRenamed("patientid", "ap"),
-                      (F.col("patientid") == F.col("ap")) & F.col("x").eqNullSafe(F.col("ax")), "left")
+    near = neighbour_addresses(d, on_day, span)
     anchor = _day_number(F.lit(RANK_ANCHOR).cast("date"), zero)
-    rank = (F.when(F.col("kind") == 0, anchor - F.col("x"))
-            .when(F.col("kind") == 1, F.col("x") - F.col("t"))
-            .otherwise(F.lit(NO_DATE_RANK)))
-    ranked = F.when(F.col("b").isNotNull(), F.struct(
-        rank.alias("r"), *[F.col(f"b.{f}").alias(f) for f in
-                           ("id_null", "id", "icb_null", "icb", "imd_null", "imd")]))
-    return (cand.groupBy("patientid", "t").agg(F.min(ranked).alias("best"))
-            .select("patientid", F.date_add(F.lit(zero).cast("date"), F.col("t")).alias("treatmentstartdate"),
-                    "best"))
+
+    def ranked(address: str, rank) -> Column:
+        fields = [F.col(f"{address}.{f}").alias(f) for f in ("id_null", "id", "icb_null", "icb", "imd_null", "imd")]
+        return F.when(F.col(address).isNotNull(), F.struct(rank.cast("int").alias("r"), *fields))
+
+    best = F.array_min(F.array(ranked("prev.b", anchor - F.col("prev.x")), ranked("next.b", F.col("next.x") - F.col("t")),
+                               ranked("undated", F.lit(NO_DATE_RANK))))
+    return near.select("patientid", F.date_add(F.lit(zero).cast("date"), F.col("t")).alias("treatmentstartdate"), best.alias("best"))
 
 
 def best_address(keys: DataFrame, key_cols: list[str], geo: DataFrame,

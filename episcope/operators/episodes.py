@@ -58,9 +58,9 @@ def duplicate_episode_ids(episodes: DataFrame) -> DataFrame:
 def duplicate_episode_rows(episodes: DataFrame, dup_ids: DataFrame | None = None) -> DataFrame:
     """Distinct (episode, start date, patient, provider) rows of the
     duplicate ids -- the de-duplication table of the monthly run."""
-    dup_ids = duplicate_episode_ids(episodes) if dup_ids is None else dup_ids
-    return (episodes.join(dup_ids, EP, "left_semi")
-            .select(EP, "treatmentstartdate", "patientid", PROV).distinct())
+    # Distinct and stored: the ids are found in these rows, and the rows of the ids are taken from them.
+    days = materialize(episodes.select(EP, "treatmentstartdate", "patientid", PROV).distinct(), "episode_days")
+    return days.join(duplicate_episode_ids(days) if dup_ids is None else dup_ids, EP, "left_semi")
 
 
 def drop_duplicate_episodes(episodes: DataFrame, dup_ids: DataFrame) -> DataFrame:
