@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +33,21 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+def text_slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Index ranges of about ``most`` bytes of text, so that a batch of long texts never stands whole as Python strings."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())).to_numpy(zero_copy_only=False) // most
+    start = 0
+    for k in range(len(column)):
+        if k + 1 == len(column) or ends[k + 1] != ends[start]:
+            yield start, k + 1
+            start = k + 1
+
+
+def give_back() -> None:
+    """Returns Arrow's unused memory to the system: Python workers outlive their tasks and the executor's limit counts them."""
+    pa.default_memory_pool().release_unused()
+
+
 def prefix_offsets(totals: DataFrame, part: str, value: str, out: str,
                    keys: tuple[str, ...] = (), block: int = 1024) -> DataFrame:
     """``totals`` with ``out``: the sum of ``value`` over smaller ``part``.

@@ -23,8 +23,10 @@ text's score is a logistic function, fitted on the training rows, of the
 margins of its three best sentences and the logarithm of their number.
 
 Training reads at most ``max_rows`` labelled rows of each label (the least by
-hash of id), and of each at most ``max_sentences`` sentences, those nearest to
-any landmark.  Scoring reads every whole text; its only state is the model.
+hash of id), of each at most ``max_sentences`` sentences, those nearest to any
+landmark, and chooses landmarks among the ``max_stems`` beginnings of greatest
+gain; None lifts each of the three.  Scoring reads every whole text; its only
+state is the model and a table of ``REMEMBERED_BYTES`` of seen words.
 
 Defined cases: a null or empty text has no sentence and scores as a sentence
 without any similarity; null ids are scored and never trained on; repeated rows
@@ -37,22 +39,22 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import read_table
+from .common import give_back, read_table, text_slices
 
 DECAY, ORDER, POWER = 0.7, 3, 3
 LANDMARKS, STEMS = 32, (4, 13)
 NEAR, VARIANTS = 0.5, 2
-MAX_ROWS, MAX_SENTENCES = 6000, 8
+MAX_ROWS, MAX_SENTENCES, MAX_STEMS = 6000, 8, 4000
 WINDOW = 24
-REMEMBERED = 500_000
+REMEMBERED_BYTES, SLICE = 96 << 20, 1 << 19
 
 
 # ---------------------------------------------------------------- the kernel
@@ -152,6 +154,8 @@ class Similarities:
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
+        # A token holds about 300 bytes in strings and tables, and a row of similarities.
+        self.most = REMEMBERED_BYTES // (300 + 4 * len(landmarks))
         self.own = np.maximum(np.diag(subsequence_kernel(landmarks, landmarks)), 1e-9) if landmarks else np.ones(0)
         self._reset()
 
@@ -174,7 +178,7 @@ class Similarities:
 
     def learn(self, tokens: set[str]) -> None:
         new = [t for t in tokens if t not in self.row]
-        if len(self.row) + len(new) > REMEMBERED:
+        if len(self.row) + len(new) > self.most:
             self._reset()
             new = list(tokens)
         if not new:
@@ -227,16 +231,18 @@ def in_training(id_column: Column) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % 4 != 2
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """(doc_id, toxic, text) of at most ``max_rows`` training rows of each label."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int | None) -> DataFrame:
+    """(doc_id, toxic, text) of at most ``max_rows`` training rows of each label (None: of all)."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & in_training(F.col("doc_id"))).select("doc_id", "toxic")
+    if max_rows is None:
+        return docs.select("doc_id", "text").join(usable, "doc_id")
     order = F.xxhash64("doc_id")
     some = usable.where("toxic = 1").orderBy(order).limit(max_rows).unionByName(usable.where("toxic = 0").orderBy(order).limit(max_rows))
     # At most 2 * max_rows ids: a bounded broadcast, so the texts are not shuffled.
     return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
 
 
-def choose_landmarks(rows: DataFrame, most: int = LANDMARKS) -> list[str]:
+def choose_landmarks(rows: DataFrame, most: int = LANDMARKS, max_stems: int | None = MAX_STEMS) -> list[str]:
     """Word beginnings by how much their documents' labels tell them from the rest."""
     low, high = STEMS
 
@@ -255,8 +261,8 @@ def choose_landmarks(rows: DataFrame, most: int = LANDMARKS) -> list[str]:
     total = rows.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
     lift = (F.col("t") + 0.5) / (F.col("c") + 0.5) * (((total.c or 0) + 1) / ((total.t or 0) + 1))
     gain = F.col("t") * F.log(lift)
-    best = counts.where("t >= 3").where(lift >= 4).orderBy(gain.desc(), F.length("stem").desc(), "stem").limit(4000).collect()
-    stems_ = [r.stem for r in best]
+    best = counts.where("t >= 3").where(lift >= 4).orderBy(gain.desc(), F.length("stem").desc(), "stem")
+    stems_ = [r.stem for r in (best if max_stems is None else best.limit(max_stems)).collect()]
     own = np.concatenate([np.diag(subsequence_kernel(p, p)) for p in (stems_[a:a + 64] for a in range(0, len(stems_), 64))] or [np.zeros(0)])
     near, chosen = np.zeros(len(stems_), dtype=np.int64), []
     for k, stem in enumerate(stems_):
@@ -281,9 +287,10 @@ def _fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 25) ->
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_sentences: int = MAX_SENTENCES) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int | None = MAX_ROWS, max_sentences: int | None = MAX_SENTENCES,
+          max_stems: int | None = MAX_STEMS) -> Model | None:
     rows = training_rows(docs, labels, max_rows)
-    landmarks = choose_landmarks(rows)
+    landmarks = choose_landmarks(rows, max_stems=max_stems)
     if not landmarks:
         return None
 
@@ -352,21 +359,20 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", out_col:
     if model is None:
         return source.withColumn(out_col, F.lit(0.0))
 
-    def one(batches):
+    @F.arrow_udf("double")
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = Similarities(model.landmarks)
-        for batch in batches:
-            texts, out = batch.column(text_col).to_pylist(), []
-            start = size = 0
-            for k, t in enumerate(texts):
-                size += len(t or "")
-                if size >= 1 << 19 or k + 1 == len(texts):
-                    values, at = table.sentences(texts[start:k + 1])
-                    out.append(model.score(values @ model.weights + model.bias, at, np.diff(at)))
-                    start, size = k + 1, 0
-            scores = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, out_col])
-
-    return source.mapInArrow(one, T.StructType([*source.schema.fields, T.StructField(out_col, T.DoubleType())]))
+        for column in texts:
+            out = []
+            for a, b in text_slices(column, SLICE):
+                values, at = table.sentences(column.slice(a, b - a).to_pylist())
+                out.append(model.score(values @ model.weights + model.bias, at, np.diff(at)))
+            yield pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
+        del table
+        give_back()
+
+    # Only the text goes to Python and only the score comes back; the rows stay in the JVM.
+    return source.withColumn(out_col, scores(F.col(f"`{text_col}`").cast("string")))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
