@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import prefix_offsets, read_table, without
+from .common import give_back, prefix_offsets, read_table, text_slices, without
 
 SEQUENCE = 4096
 END_ID = 2
-REMEMBERED = 1_000_000
+REMEMBERED, SLICE, BROADCAST_PARTS = 1_000_000, 1 << 20, 1_000_000
 
 
 def default_vocabulary() -> str:
@@ -132,18 +132,6 @@ class WordEncoder:
                 self.pieces[piece] = array("I", coded.ids).tobytes()
 
 
-def _batches_of(texts: list, most: int = 1 << 20):
-    """Index ranges of about ``most`` characters."""
-    start, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t or "")
-        if size >= most:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encoded(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, part, before, doc_tokens, ids): pass 1."""
 
@@ -153,9 +141,9 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id
         part, before = TaskContext.get().partitionId(), 0
         encoder, end = WordEncoder.load(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            texts, ids = batch.column(text_col).to_pylist(), batch.column(id_col)
-            for a, b in _batches_of(texts):
-                coded = [x + end for x in encoder.encode(texts[a:b])]
+            texts, ids = batch.column(text_col), batch.column(id_col)
+            for a, b in text_slices(texts, SLICE):
+                coded = [x + end for x in encoder.encode(texts.slice(a, b - a).to_pylist())]
                 size = np.array([len(x) // 4 for x in coded], dtype=np.int64)
                 ahead = before + np.cumsum(size) - size
                 before += int(size.sum())
@@ -163,6 +151,7 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": ids.slice(a, b - a), "part": pa.array(np.full(b - a, part, dtype=np.int64)),
                     "before": pa.array(ahead), "doc_tokens": pa.array(size), "ids": pa.array(small, pa.binary())})
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
@@ -184,8 +173,10 @@ def pack(docs: DataFrame, length: int = SEQUENCE, vocabulary: str | None = None,
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]."""
     coded = materialize(encoded(docs, vocabulary or default_vocabulary(), end_id, id_col, text_col), "encoded")
     totals = coded.groupBy("part").agg(F.sum("doc_tokens").alias("tokens"))
-    bases = without(prefix_offsets(totals, "part", "tokens", "base"), ["tokens"])
-    placed = (coded.join(bases, "part")
+    bases = materialize(without(prefix_offsets(totals, "part", "tokens", "base"), ["tokens"]), "bases")
+    # One row a task of pass 1: broadcast where their number allows it, so that no ids are shuffled.
+    near = F.broadcast(bases) if bases.count() <= BROADCAST_PARTS else bases
+    placed = (coded.join(near, "part")
               .select("doc_id", (F.col("base") + F.col("before")).alias("place"), "doc_tokens", "ids"))
 
     def cut(batches):
