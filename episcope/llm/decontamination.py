@@ -158,9 +158,10 @@ i as (select distinct item_id, least(len(w), {WINDOW}) as size,
              array_to_string(w[unnest(range(1, greatest(len(w) - {WINDOW - 1}, 1) + 1)):][:{WINDOW}], ' ') as win
       from b where len(w) > 0),
 s as (select distinct size from i),
-p as (select rid, size, unnest(range(1, len(w) - size + 2)) as pos from d, s),
-o as (select distinct p.rid, p.pos, p.size, i.item_id
-      from p join d using (rid) join i on i.size = p.size and i.win = array_to_string(d.w[p.pos:p.pos + p.size - 1], ' ')),
+p as (select rid, size, unnest(range(1, len(w) - size + 2)) as pos,
+             unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) as win
+      from d, s),
+o as (select distinct p.rid, p.pos, p.size, i.item_id from p join i on i.size = p.size and i.win = p.win),
 h as (select rid, count(distinct place) as n_hit from (select rid, unnest(range(pos, pos + size)) as place from o) group by rid),
 n as (select rid, count(*) as n_items, string_agg(name, ',' order by name) as names
       from (select distinct rid, cast(item_id as varchar) as name from o where item_id is not null) group by rid)
