@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .byte_bpe import op7_byte_bpe
+from .dedup_sql import OP2_SQL, OP3_SQL, OP5_SQL
 from .decontamination import OP12_SQL, op12_decontamination
 from .minhash import op2_minhash_near_dedup
 from .packing import op9_packing
@@ -32,4 +33,10 @@ QUERIES = {
     "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_top_k_search": OP6_SQL, "op12_decontamination": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_minhash_near_dedup": OP2_SQL,
+    "op3_suffix_dedup": OP3_SQL,
+    "op5_substring_dedup": OP5_SQL,
+    "op6_top_k_search": OP6_SQL,
+    "op12_decontamination": OP12_SQL,
+}
