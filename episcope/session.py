@@ -86,11 +86,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the intermediate tables written so far; call it once a run's outputs are written."""
+def scratch_mark() -> int:
+    """The state to give to ``release_scratch``: it then leaves what was written before."""
+    return len(_WRITTEN)
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables written so far (after the mark ``since``); call it once a run's outputs are written."""
     sc = spark.sparkContext
     released = 0
-    while _WRITTEN:
+    while len(_WRITTEN) > since:
         path = sc._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         released += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
     return released
