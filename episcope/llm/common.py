@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -27,10 +27,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def quoted(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever their names hold (dots, spaces)."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` less the columns whose names (in any case) are in ``names``."""
     gone = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
+    return df.select(*[column for c, column in zip(df.columns, quoted(df)) if c.lower() not in gone])
 
 
 def text_slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:

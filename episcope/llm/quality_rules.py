@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import read_table
+from .common import quoted, read_table
 
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -268,8 +268,8 @@ def quality_filter(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[
     """``docs`` less the rejected rows (columns unchanged), and the learned rules."""
     stats = statistics(docs.select("doc_id", "text"))
     rules = learn(materialize(labelled_statistics(stats, labels), "statistics"))
-    keep = statistics(docs.select(*docs.columns, F.struct(*docs.columns).alias("__row"))).where(verdict(rules))
-    return keep.select("__row.*"), rules
+    keep = statistics(docs.select("doc_id", "text", F.struct(*quoted(docs)).alias("__row"))).where(verdict(rules))
+    return keep.select(*[F.col("__row")[c].alias(c) for c in docs.columns]), rules
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,33 @@ def test_run_equals_the_stages(spark, raw):
     assert pieces.count() > 0
 
 
+def test_extra_columns_pass_through_whatever_their_names(spark, raw, tmp_path):
+    from pyspark.sql import functions as F
+
+    extra = {"a.b": F.lit(1.5), "N_Removed": F.col("doc_id") + 7, "score": F.lit("s"), "component id": F.col("doc_id"), "Kept": F.array(F.lit(3))}
+    docs = spark.read.parquet(f"{raw}/documents.parquet").select("*", *[v.alias(k) for k, v in extra.items()])
+    columns = docs.columns
+    for n, (name, stage) in enumerate(C.STAGES):
+        stage(spark, docs, raw).write.parquet(f"{tmp_path}/{n}")
+        docs = spark.read.parquet(f"{tmp_path}/{n}")
+        if n < 4:
+            assert docs.columns == columns, name
+            assert docs.where("`a.b` != 1.5 or N_Removed != doc_id + 7 or score != 's' or `component id` != doc_id or Kept[0] != 3").count() == 0, name
+    assert docs.count() > 0
+
+
+def test_run_leaves_no_table_of_an_earlier_stage(spark, raw):
+    from episcope import session
+
+    mark = session.scratch_mark()
+    pieces = C.run(spark, raw)
+    names = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in session._WRITTEN[mark:]}
+    assert {n for n, _ in C.STAGES[:-1]} <= names and not names & {"sketches", "buckets", "texts", "links", "statistics"}
+    assert pieces.count() > 0
+    session.release_scratch(spark, since=mark)
+    assert session.scratch_mark() == mark
+
+
 def test_all_queries_are_registered():
     names = entry.queries()
     numbers = defaultdict(list)
