@@ -22,14 +22,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episcope.llm.common import read_table
+from episcope.llm.common import quoted, read_table
 from episcope.llm.minhash import near_duplicates
 from episcope.llm.packing import pack
 from episcope.llm.quality_rules import quality_filter
 from episcope.llm.repeats import decode_kept
 from episcope.llm.substring_dedup import substring_dedup
 from episcope.llm.toxicity import score, train
-from episcope.session import materialize
+from episcope.session import release_scratch, scratch_mark, scratch_path
 
 TOXIC = 0.3
 
@@ -37,7 +37,7 @@ TOXIC = 0.3
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs, read_table(spark, sf_dir, "labels"))
     scored = score(docs, model, out_col="__toxicity")
-    return scored.where(F.col("__toxicity") < TOXIC).select(*docs.columns)
+    return scored.where(F.col("__toxicity") < TOXIC).select(*quoted(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +46,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = near_duplicates(docs, words=5, percent=80).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*quoted(docs))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = substring_dedup(docs).withColumn("text", decode_kept("text"))
-    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    # The other columns travel as one struct, so that none clashes with the operator's results.
+    rest = [c for c in docs.columns if c.lower() not in ("doc_id", "text", "n_chars")]
+    others = F.struct(F.lit(True).alias("__"), *[c for n, c in zip(docs.columns, quoted(docs)) if n in rest])
+    cut = substring_dedup(docs.select("doc_id", "text", others.alias("__rest")))
+    text = decode_kept("text")
+    made = {"doc_id": F.col("doc_id"), "text": text, "n_chars": F.char_length(text).cast("long")}
+    return cut.select(*[made.get(c.lower(), F.col("__rest")[c]).alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,8 +76,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of the documents that all stages keep."""
+    """The packed pieces of the documents that all stages keep.
+
+    Each stage's rows are stored; what it wrote on the way is then released.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        mark = scratch_mark()
+        kept = stage(spark, docs, sf_dir)
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        release_scratch(spark, since=mark)
     return STAGES[-1][1](spark, docs, sf_dir)
