@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .tables import read_table
 
 # The 21-column extract, typed (never inferred).
@@ -47,6 +48,9 @@ def write_extract(extract: DataFrame, folder: str, fmt: str = "csv", tag: str |
     with a header (the hand-over format), or Parquet.  Written by many tasks
     in parallel (a folder of part files), never through the driver.  ``tag``
     names the month where the caller knows it."""
+    if tag is None:
+        # Read for its latest month and again for the file.
+        extract = materialize(extract, "extract")
     path = f"{folder.rstrip('/')}/extract_{tag or extract_file_tag(extract)}"
     w = extract.write.mode("overwrite")
     if fmt == "csv":
