@@ -4,9 +4,12 @@ Documents are packed into shards (about ``shard_bytes`` of text).  A task turns
 a shard into an inverted index of term frequencies; its documents are ordered
 by their commonest term, so that a block of 32 neighbours is of one kind, and
 each term keeps its greatest weight in every block.  A query sums those maxima
-to an upper bound per block, takes the blocks in order of their bounds, and
-leaves out every block whose bound is below the k-th score it has (block-max
-WAND with blocks as pivots).  The k-th scores pass from shard to shard of a
+to an upper bound per block, and leaves out every block whose bound is below
+the k-th score it has (block-max WAND with blocks as pivots).  What is left is
+scored in batches of queries: the shard's commonest terms as a matrix product in
+single precision, the others posting by posting.  Documents whose score, with the
+product's greatest error, may reach the k-th are scored again in whole numbers,
+and only these scores count.  The k-th scores pass from shard to shard of a
 lane; the lanes' lists are merged by score.
 
 Document frequencies, the number of documents and their mean length come from
@@ -35,11 +38,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import read_table
+from .common import give_back, read_table
 from .hashing import column_bytes, word_hashes, word_spans
 from .repeats import _unpack, blocks
 
 K1, B, SCALE, BLOCK = 1.2, 0.75, 1_000_000, 32
+#: Terms of a shard scored as a matrix, and the most cells of that matrix and of a batch of queries by documents.
+COMMON, CELLS = 1024, 1 << 22
+#: Query terms scored at a time.
+BATCH = 16_384
 
 
 def _words(column):
@@ -48,12 +55,12 @@ def _words(column):
     return word_hashes(raw, starts, ends, lower=True).view(np.int64), at
 
 
-def _distinct(column) -> tuple[np.ndarray, np.ndarray]:
-    """Per text its distinct words (concatenated), and the text of each."""
+def _distinct(column) -> tuple[np.ndarray, np.ndarray, int]:
+    """Per text its distinct words (concatenated), and the text of each; the number of all words."""
     words, at = _words(column)
     parts = [np.unique(words[a:b]) for a, b in zip(at, at[1:])]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    return (np.concatenate(parts) if parts else words), owner
+    return (np.concatenate(parts) if parts else words), owner, len(words)
 
 
 def term_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -63,11 +70,12 @@ def term_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 column = batch.column(text_col).slice(a, 500)
-                terms, df = np.unique(_distinct(column)[0], return_counts=True)
+                found, _, size = _distinct(column)
+                terms, df = np.unique(found, return_counts=True)
                 yield pa.RecordBatch.from_pydict({
                     "term": pa.concat_arrays([pa.array(terms), pa.array([None], pa.int64())]),
                     "df": pa.array([*df.tolist(), len(column)], pa.int64()),
-                    "words": pa.array([0] * len(terms) + [len(_words(column)[0])], pa.int64())})
+                    "words": pa.array([0] * len(terms) + [size], pa.int64())})
 
     return (docs.select(F.col(f"`{text_col}`")).mapInArrow(count, "term long, df long, words long")
             .groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words")))
@@ -77,7 +85,11 @@ class Index:
     """The inverted index of one shard."""
 
     def __init__(self, payload, id_col: str, text_col: str, mean: float):
-        table = _unpack(payload)
+        self._invert(_unpack(payload), id_col, text_col, mean)
+        self._matrix()
+        self._forward()
+
+    def _invert(self, table: pa.Table, id_col: str, text_col: str, mean: float) -> None:
         words, at = _words(table[text_col])
         sizes = np.diff(at)
         n = len(sizes)
@@ -114,34 +126,80 @@ class Index:
         self.terms, self.segments = np.unique(heads, return_index=True)
         self.segments = np.append(self.segments, len(heads))
 
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best documents among those that score ``least`` or more."""
-        at = np.searchsorted(self.terms, terms)
-        here = (at < len(self.terms)) & (self.terms[np.minimum(at, len(self.terms) - 1)] == terms) if len(self.terms) else np.zeros(len(terms), dtype=bool)
-        if not here.any():
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        at, idf = at[here], idf[here]
-        segments, weight = _ranges(self.segments[at], self.segments[at + 1], idf)
-        bound = np.bincount(self.block[segments], weight * self.most[segments] * SCALE + 1, minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        scores = np.zeros(self.blocks * BLOCK, dtype=np.int64)
-        done, step = 0, 2
-        while done < len(order) and bound[order[done]] >= max(least, 1):
-            chosen = order[done:done + step]
-            chosen = chosen[bound[chosen] >= max(least, 1)]
-            mask = np.zeros(self.blocks, dtype=bool)
-            mask[chosen] = True
-            some = mask[self.block[segments]]
-            rows, idfs = _ranges(self.starts[segments[some]], self.starts[segments[some] + 1], weight[some])
-            gains = np.rint(idfs * self.gain[rows] * SCALE)
-            scores += np.bincount(self.doc[rows], gains, minlength=len(scores)).astype(np.int64)
-            done += step
-            step *= 4
-            if np.count_nonzero(scores) >= k:
-                least = max(least, int(np.partition(scores, len(scores) - k)[len(scores) - k]))
-        hit = np.flatnonzero(scores >= max(least, 1))
-        best = hit[np.lexsort((self.ids[hit], -scores[hit]))][:k]
-        return self.ids[best], scores[best]
+    def _matrix(self) -> None:
+        """The commonest terms' weights by document, and their greatest by block."""
+        slots = self.blocks * BLOCK
+        counts = np.diff(self.starts[self.segments])
+        common = np.argsort(-counts, kind="stable")[:min(COMMON, CELLS // max(slots, 1))]
+        common = common[counts[common] > self.blocks]
+        self.column = np.full(len(self.terms), -1)
+        self.column[common] = np.arange(len(common))
+        rows, column = _ranges(self.starts[self.segments[common]], self.starts[self.segments[common + 1]], np.arange(len(common)))
+        self.matrix = np.zeros((len(common), slots), dtype=np.float32)
+        self.matrix[column, self.doc[rows]] = self.gain[rows]
+        self.matrix_most = self.matrix.reshape(len(common), self.blocks, BLOCK).max(axis=2)
+
+    def _forward(self) -> None:
+        """The terms and weights of each document."""
+        order = np.argsort(self.doc, kind="stable")
+        self.own_terms = np.repeat(np.arange(len(self.terms)), np.diff(self.starts[self.segments]))[order]
+        self.own_gains = self.gain[order]
+        self.own = np.searchsorted(self.doc[order], np.arange(self.blocks * BLOCK + 1))
+        self.weights = np.zeros(len(self.terms))
+
+    def top(self, terms: np.ndarray, idf: np.ndarray, sizes: np.ndarray, k: int, least: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, ids, scores) of the k best documents among those that score ``least`` or more.  A query has ``sizes`` of the terms."""
+        if not len(self.terms):
+            return []
+        batch, found = max(1, CELLS // (self.blocks * BLOCK)), []
+        ends = np.cumsum(sizes)
+        a = 0
+        while a < len(sizes):
+            low = ends[a] - sizes[a]
+            b = min(a + batch, max(a + 1, int(np.searchsorted(ends, low + BATCH, side="right"))))
+            cut = slice(low, ends[b - 1])
+            found += [(a + q, ids, scores) for q, ids, scores in self._batch(terms[cut], idf[cut], sizes[a:b], k, least[a:b])]
+            a = b
+        return found
+
+    def _batch(self, terms: np.ndarray, idf: np.ndarray, sizes: np.ndarray, k: int, least: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        n, slots = len(sizes), self.blocks * BLOCK
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        here = self.terms[at] == terms
+        at, idf, query = at[here], idf[here], np.repeat(np.arange(n), sizes)[here]
+        column = self.column[at]
+        common, rare = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
+        weights = np.zeros((n, len(self.matrix)), dtype=np.float32)
+        weights[query[common], column[common]] = idf[common]
+        # The most by which a score below may differ from the sum of whole numbers: single precision, and half a unit a term.
+        most = np.bincount(query[common], idf[common], minlength=n) * (K1 + 1) * SCALE
+        slack = (most * (len(self.matrix) + 8) * 2.0 ** -23 + np.bincount(query, minlength=n) + 1)[:, None]
+        least = np.maximum(least, 1).astype(float)[:, None]
+        segments, pair = _ranges(self.segments[at[rare]], self.segments[at[rare] + 1], rare)
+        cell = query[pair] * self.blocks + self.block[segments]
+        bound = np.bincount(cell, idf[pair] * self.most[segments] * SCALE, minlength=n * self.blocks).reshape(n, self.blocks)
+        kept = bound + (weights @ self.matrix_most) * np.float32(SCALE) + slack >= least
+        some = kept.ravel()[cell]
+        rows, pair = _ranges(self.starts[segments[some]], self.starts[segments[some] + 1], pair[some])
+        score = np.bincount(query[pair] * slots + self.doc[rows], idf[pair] * self.gain[rows] * SCALE, minlength=n * slots).reshape(n, slots)
+        score = score + (weights @ self.matrix) * np.float32(SCALE)
+        score.reshape(n, self.blocks, BLOCK)[~kept] = 0
+        if slots >= k:
+            least = np.maximum(least, np.partition(score, slots - k, axis=1)[:, slots - k, None] - slack)
+        found = []
+        asked, doc = np.nonzero((score > 0) & (score + slack >= least))
+        cuts, owns = np.searchsorted(asked, np.arange(n + 1)), np.searchsorted(query, np.arange(n + 1))
+        for q in np.flatnonzero(np.diff(cuts)):
+            docs, own = doc[cuts[q]:cuts[q + 1]], slice(owns[q], owns[q + 1])
+            rows, place = _ranges(self.own[docs], self.own[docs + 1], np.arange(len(docs)))
+            self.weights[at[own]] = idf[own]
+            scores = np.bincount(place, np.rint(self.weights[self.own_terms[rows]] * self.own_gains[rows] * SCALE), minlength=len(docs)).astype(np.int64)
+            self.weights[at[own]] = 0
+            hit = np.flatnonzero(scores >= least[q, 0])
+            best = hit[np.lexsort((self.ids[docs[hit]], -scores[hit]))][:k]
+            if len(best):
+                found.append((int(q), self.ids[docs[best]], scores[best]))
+        return found
 
 
 def _ranges(low: np.ndarray, high: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +217,7 @@ def _merge(held: tuple | None, ids: np.ndarray, scores: np.ndarray, k: int) -> t
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
-          shard_bytes: int = 4 << 20, lane_bytes: int = 12 << 20, query_bytes: int = 8 << 20) -> DataFrame:
+          shard_bytes: int = 4 << 20, lane_bytes: int = 16 << 20, query_bytes: int = 24 << 20) -> DataFrame:
     """(query_id, rank, doc_id, score) of the k best documents of each query row."""
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -170,7 +228,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     def terms(batches):
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
-                found, owner = _distinct(batch.column("text").slice(a, 500))
+                found, owner, _ = _distinct(batch.column("text").slice(a, 500))
                 yield pa.RecordBatch.from_arrays([batch.column("query_id").slice(a, 500).take(pa.array(owner)), pa.array(found)], names=["query_id", "term"])
 
     asked = (queries.select(F.col(f"`{id_col}`").cast("long").alias("query_id"), F.col(f"`{text_col}`").alias("text"))
@@ -189,18 +247,19 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         right = right.combine_chunks()
-        names, lists, dfs = right["query_id"].to_pylist(), right["terms"], right["dfs"]
-        for payload in left["payload"] if names else []:
-            index = Index(payload.as_buffer(), "doc_id", "text", mean)
-            for q, name in enumerate(names):
-                df = dfs[q].values.to_numpy()
-                held = best.get(name)
-                least = int(held[1][-1]) if held is not None and len(held[1]) == k else 0
-                ids, scores = index.top(lists[q].values.to_numpy(), np.log(1 + (n - df + 0.5) / (df + 0.5)), k, least)
-                if len(ids):
-                    best[name] = _merge(held, ids, scores, k)
+        if right.num_rows:
+            lists, df = right["terms"].chunk(0), right["dfs"].chunk(0).flatten().to_numpy()
+            asked, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            idf, least = np.log(1 + (n - df + 0.5) / (df + 0.5)), np.zeros(len(sizes), dtype=np.int64)
+            for payload in left["payload"]:
+                for q, ids, scores in Index(payload.as_buffer(), "doc_id", "text", mean).top(asked, idf, sizes, k, least):
+                    best[q] = _merge(best.get(q), ids, scores, k)
+                    if len(best[q][1]) == k:
+                        least[q] = best[q][1][-1]
+                give_back()
         ids = np.concatenate([x for x, _ in best.values()]) if best else np.zeros(0, dtype=np.int64)
-        return pa.table({"query_id": pa.array(np.repeat(np.array(list(best), dtype=np.int64), [len(x) for x, _ in best.values()]), pa.int64()),
+        name = np.repeat(np.array(list(best), dtype=np.int64), [len(x) for x, _ in best.values()])
+        return pa.table({"query_id": right["query_id"].take(pa.array(name, pa.int64())),
                          "doc_id": pa.array(ids, pa.int64(), mask=ids == np.iinfo(np.int64).max),
                          "score": pa.array(np.concatenate([y for _, y in best.values()]) if best else ids, pa.int64())})
 

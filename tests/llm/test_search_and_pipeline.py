@@ -4,10 +4,14 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline as C
+from episcope.llm import search as S
+from episcope.llm.repeats import _pack
 from episcope.llm.search import top_k
 from samples import SCHEMA, documents, folder, patterned, sentence, words
 from test_minhash import brute as brute_components
@@ -43,6 +47,31 @@ def test_search_equals_plain_scoring(spark, shard_bytes):
     assert sorted(map(tuple, got.collect())) == brute_search(rows, dict(asked).items(), 7)
 
 
+@pytest.mark.parametrize("common", [0, 3, 1024])
+@pytest.mark.parametrize("batch", [1, 200, 1 << 16])
+def test_a_shard_scores_batches_of_queries_exactly(monkeypatch, common, batch):
+    """Whatever part of the terms goes through the single-precision matrix, ties with the k-th score included."""
+    monkeypatch.setattr(S, "COMMON", common)
+    monkeypatch.setattr(S, "BATCH", batch)
+    r = random.Random(5)
+    rows = [(i, sentence(r, r.randint(1, 60))) for i in range(400)] + [(900 + i, "same words here") for i in range(30)] + [(990, ""), (991, None)]
+    mean = sum(len(words(t)) for _, t in rows) / len(rows)
+    df = Counter(w for _, t in rows for w in {x.lower() for x in words(t)})
+    hashes = dict(zip(df, S._words(pa.array(list(df)))[0].tolist()))
+    asked = rows[::7] + rows[-3:]
+    lists = [sorted({(hashes[x.lower()], df[x.lower()]) for x in words(t)}) for _, t in asked]
+    terms = np.array([h for x in lists for h, _ in x], dtype=np.int64)
+    idf = np.array([math.log(1 + (len(rows) - d + 0.5) / (d + 0.5)) for x in lists for _, d in x])
+    index = S.Index(_pack(pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})), "doc_id", "text", mean)
+    want = brute_search(rows, asked, 7)
+    for least in (0, 1):
+        # Once with nothing held, once with the k-th scores themselves.
+        held = np.array([min([s for q, rank, _, s in want if q == i and rank == 7], default=0) for i, _ in asked]) * least
+        got = [(asked[q][0], rank, i, s) for q, ids, scores in index.top(terms, idf, np.array([len(x) for x in lists]), 7, held)
+               for rank, (i, s) in enumerate(zip(ids.tolist(), scores.tolist()), 1)]
+        assert sorted(got) == want
+
+
 def test_search_in_an_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert top_k(empty, empty).count() == 0
