@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import re
 from dataclasses import replace
 from decimal import Decimal
 
@@ -14,8 +15,10 @@ from episcope.functions import classify as C
 from episcope.functions import fixed_values as fv
 from episcope.functions.rule_index import ANY, Rule, RuleIndex, schedule_rules, with_schedule
 from episcope.operators import checks as K
+from episcope.operators import episodes as EPI
 from episcope.operators import extract as X
-from episcope.plans.chunked import ChunkedExtract, EmptyChunk, chunk_params
+from episcope.plans.calendar import chunk_id
+from episcope.plans.chunked import ChunkedExtract, EmptyChunk, chunk_params, chunk_rows, of_chunks
 from episcope.plans.params import DEFAULT, RunParams
 from episcope.plans.refresh import MonthlyState, chunk_fingerprints
 from episcope.session import materialize
@@ -162,6 +165,42 @@ def test_a_late_duplicate_touches_its_old_chunk(spark, inp):
     assert (1, "episodes") in changed and (5, "episodes") in changed and not any(c in (2, 3, 4) for c, _ in changed)
 
 
+def test_fingerprints_move_hashes_and_equal_the_joined_rows(spark, inp):
+    """Of prescriptions and exposures only the hashes of keys and row move; null keys belong to no chunk, repeated rows count each."""
+    rx, ex = inp.at_prescriptions, inp.at_exposures
+    null = F.lit(None).cast("string")
+    odd = replace(inp, at_prescriptions=rx.unionByName(rx.limit(50)).unionByName(rx.limit(20).withColumn("orgcodeprovider", null)),
+                  at_episodes=inp.at_episodes.unionByName(inp.at_episodes.limit(30)).unionByName(inp.at_episodes.limit(9).withColumn("orgcodeprovider", null)))
+    got = chunk_fingerprints(odd)
+    date, chunks = F.col("treatmentstartdate"), list(DEFAULT.chunks)
+    attendances = odd.at_episodes.select(*EPI.ATTEND_KEYS, chunk_id(date, chunks).alias("chunk_id")).where("chunk_id is not null").distinct()
+    for name, df in (("prescriptions", odd.at_prescriptions), ("exposures", ex)):
+        joined = df.join(attendances, EPI.ATTEND_KEYS)
+        row = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
+        same(got.where(F.col("source") == name).select("chunk_id", "rows", "checksum"),
+             joined.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("rows"), F.sum(row).alias("checksum")))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = chunk_fingerprints(inp)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    moved = [m.split("#")[0] for m in re.findall(r"Exchange hashpartitioning\(([^,]*),", plan)]
+    assert sorted(moved) == sorted(["chunk_id", EPI.EP, EPI.EP, "key", "key"]), moved
+
+
+def test_only_episodes_of_changed_chunks_move(spark, inp, monkeypatch):
+    """Chunks are cut out of the episodes ahead of the joins, with duplicates found among all episodes, and their rows are the same."""
+    seen = []
+    real = EPI.addressed_rows
+    monkeypatch.setattr(EPI, "addressed_rows", lambda i, *a: seen.append(i.at_episodes) or real(i, *a))
+    some = [DEFAULT.chunks[1], DEFAULT.chunks[4]]
+    got = chunk_rows(inp, some)
+    same(got, of_chunks(real(inp), some))
+    days = seen[0].agg(F.count_if(chunk_id(F.col("treatmentstartdate"), list(DEFAULT.chunks)).isin(2, 5)), F.count(F.lit(1))).first()
+    assert 0 < days[0] == days[1] < inp.at_episodes.count()
+
+
 # -- checks -----------------------------------------------------------------------
 
 def test_planted_faults_stop_the_run(spark, inp):
